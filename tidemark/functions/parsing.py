@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,6 +11,15 @@ def fields(line: Column, separator: str) -> Column:
     return F.split(F.rtrim(line, F.lit(separator)), "[" + separator + "]")
 
 
+def split_lines(lines: DataFrame, separator: str) -> DataFrame:
+    """``line`` and its fields ``f``, split once per line.
+
+    Catalyst copies a projected expression into every filter above it. It does not look
+    behind a generator, so the split is handed on through one, as an array of one array.
+    """
+    return lines.select(F.col("value").alias("line"), F.explode(F.array(fields(F.col("value"), separator))).alias("f"))
+
+
 def field(parts: Column, index: int) -> Column:
     """A field by position, null where the line is too short."""
     return F.get(parts, F.lit(index))

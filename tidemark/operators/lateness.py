@@ -27,7 +27,7 @@ from tidemark.functions.timing import MINUTE_MS, SECOND_MS, epoch_ms
 from tidemark.operators.counts import HOT_PAGE_WINDOWS, page_requests_only
 from tidemark.operators.topn import top_n
 from tidemark.operators.windows import Sliding, pane_of, span_counts
-from tidemark.session import checkpoint_dir
+from tidemark.session import materialize
 
 # Arrival time per bucket. Narrower means fewer marks to compare per row, wider fewer buckets.
 BUCKET_MS = MINUTE_MS
@@ -95,30 +95,39 @@ class RunningMax:
     def marks(self) -> DataFrame:
         """First arrival of each event-time cell per arrival bucket, and the rows it stands for.
 
-        Read three times and asked for its size, so it is written out once; its lineage
-        (a pass over every row) is cut with it.
+        Read several times and asked for its size, so it is written out once.
         """
-        checkpoint_dir(self.rows.sparkSession)
-        return (
+        return materialize(
             self.rows.where(F.col(self.ts).isNotNull())
             .groupBy(
                 self._bucket().alias("bucket"),
                 floor_div(epoch_ms(F.col(self.ts)), self.granularity_ms).alias("cell"),
             )
-            .agg(F.min(self._order()).alias("seen"), F.count("*").alias("n"))
-            .checkpoint()
+            .agg(F.min(self._order()).alias("seen"), F.count("*").alias("n")),
+            "arrival-marks",
         )
 
+    def coarsened(self, factor: int) -> RunningMax:
+        """The same at ``factor`` times the granularity, from the marks at hand: no second pass."""
+        coarse = RunningMax(
+            self.rows, self.arrival, self.granularity_ms * factor, self.ts, self.bucket_ms, self.limits
+        )
+        coarse.marks = materialize(
+            self.marks.groupBy("bucket", floor_div(F.col("cell"), factor).alias("cell")).agg(
+                F.min("seen").alias("seen"), F.sum("n").alias("n")
+            ),
+            "arrival-marks",
+        )
+        return coarse
+
     @cached_property
     def buckets(self) -> DataFrame:
-        """Per arrival bucket: rows, marks, and ``carry``, the newest cell of all earlier buckets.
+        """Per arrival bucket: its rows, and ``carry``, the newest cell of all earlier buckets.
 
         The running maximum over buckets is taken within blocks and over blocks. Only the
         latter meets in one task, with one row per ``BLOCK`` buckets that hold any rows.
         """
-        per_bucket = self.marks.groupBy("bucket").agg(
-            F.max("cell").alias("top"), F.sum("n").alias("rows"), F.count("*").alias("marks")
-        )
+        per_bucket = self.marks.groupBy("bucket").agg(F.max("cell").alias("top"), F.sum("n").alias("rows"))
         blocked = per_bucket.withColumn("block", floor_div(F.col("bucket"), BLOCK))
         earlier = (Window.unboundedPreceding, -1)
         over_blocks = Window.orderBy("block").rowsBetween(*earlier)
@@ -131,51 +140,57 @@ class RunningMax:
         return (
             blocked.withColumn("within", F.max("top").over(in_block))
             .join(blocks, "block")
-            .select("bucket", "rows", "marks", F.greatest("within", "before").alias("carry"))
-            .checkpoint()
+            .select("bucket", "rows", F.greatest("within", "before").alias("carry"))
         )
 
-    @cached_property
-    def rising_marks(self) -> DataFrame:
-        """Marks that raise the running maximum, the carry of each bucket included as its first."""
+    def _judged_marks(self) -> DataFrame:
+        """Marks with the ``carry`` of their bucket, and whether they raise the running maximum."""
         in_bucket = Window.partitionBy("bucket").orderBy("seen").rowsBetween(Window.unboundedPreceding, -1)
-        rising = (
+        reached = F.greatest(F.max("cell").over(in_bucket), F.col("carry"))
+        return (
             self.marks.join(self.buckets.select("bucket", "carry"), "bucket")
-            .withColumn("reached", F.greatest(F.max("cell").over(in_bucket), "carry"))
-            .where(F.col("reached").isNull() | (F.col("cell") > F.col("reached")))
-            .select("bucket", "seen", "cell")
+            .withColumn("reached", reached)
+            .select(
+                "bucket",
+                "seen",
+                "cell",
+                "carry",
+                (F.col("reached").isNull() | (F.col("cell") > F.col("reached"))).alias("rises"),
+            )
         )
-        # A null arrival sorts before every real one.
-        no_arrival = F.lit(None).cast(rising.schema["seen"].dataType)
-        carried = self.buckets.where(F.col("carry").isNotNull()).select(
-            "bucket", no_arrival.alias("seen"), F.col("carry").alias("cell")
+
+    def _marks_are_few(self) -> bool:
+        size = (
+            self.marks.groupBy("bucket")
+            .agg(F.count("*").alias("marks"))
+            .agg(F.sum("marks").alias("all"), F.max("marks").alias("widest"))
+            .first()
         )
-        return rising.unionByName(carried)
+        return (size["all"] or 0) <= self.limits.marks and (size["widest"] or 0) <= self.limits.marks_per_bucket
 
     def attach(self, rows: DataFrame, name: str = "running_max_ms") -> DataFrame:
         """Add the running maximum to ``rows``, any part of those it was built from.
 
         Null for a row before which nothing arrived.
         """
-        size = self.buckets.agg(F.sum("marks").alias("marks"), F.max("marks").alias("widest")).first()
-        # The carries add one entry per bucket, at most as many as there are marks.
-        if 2 * (size.marks or 0) <= self.limits.marks and (size.widest or 0) <= self.limits.marks_per_bucket:
-            found = self._look_up_broadcast(rows)
-        else:
-            found = self._look_up_sorted(rows)
+        found = self._look_up_broadcast(rows) if self._marks_are_few() else self._look_up_sorted(rows)
         return found.withColumn(name, F.col("__cell") * self.granularity_ms).drop("__cell")
 
     def _look_up_broadcast(self, rows: DataFrame) -> DataFrame:
         """Rows stay where they are; each compares itself with the few marks of its bucket."""
-        lists = self.rising_marks.groupBy("bucket").agg(
-            F.max(F.when(F.col("seen").isNull(), F.col("cell"))).alias("__carry"),
-            F.collect_list(F.when(F.col("seen").isNotNull(), F.struct("seen", "cell"))).alias("__marks"),
+        lists = (
+            self._judged_marks()
+            .groupBy(F.col("bucket").alias("__bucket"))
+            .agg(
+                F.max("carry").alias("__carry"),
+                F.collect_list(F.when(F.col("rises"), F.struct("seen", "cell"))).alias("__marks"),
+            )
         )
         here = self._order()
         passed = F.array_max(F.transform(F.filter("__marks", lambda m: m["seen"] < here), lambda m: m["cell"]))
         return (
             rows.withColumn("__bucket", self._bucket())
-            .join(F.broadcast(lists.withColumnRenamed("bucket", "__bucket")), "__bucket", "left")
+            .join(F.broadcast(lists), "__bucket", "left")
             .withColumn("__cell", F.greatest("__carry", passed))
             .drop("__bucket", "__carry", "__marks")
         )
@@ -187,6 +202,7 @@ class RunningMax:
         slices of bounded size, each with its own copy of the bucket's marks.
         """
         columns = rows.columns
+        self.buckets = materialize(self.buckets, "arrival-buckets")
         # Busy buckets only: at most one entry per ``rows_per_task`` rows of the input.
         slices = F.broadcast(
             self.buckets.where(F.col("rows") > self.limits.rows_per_task).select(
@@ -203,10 +219,16 @@ class RunningMax:
             )
             .select(*columns, "__bucket", "__slice", "__order", F.lit(None).cast("bigint").alias("__mark"))
         )
+        rising = self._judged_marks().where("rises").select("bucket", "seen", "cell")
+        # What earlier buckets reached enters as a mark before every real arrival: nulls sort first.
+        carried = self.buckets.where(F.col("carry").isNotNull()).select(
+            "bucket",
+            F.lit(None).cast(rising.schema["seen"].dataType).alias("seen"),
+            F.col("carry").alias("cell"),
+        )
         copies = (
-            self.rising_marks.select(
-                F.col("bucket").alias("__bucket"), F.col("seen").alias("__order"), F.col("cell").alias("__mark")
-            )
+            rising.unionByName(carried)
+            .select(F.col("bucket").alias("__bucket"), F.col("seen").alias("__order"), F.col("cell").alias("__mark"))
             .join(slices, "__bucket", "left")
             .withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__slices", F.lit(1)) - 1)))
             .drop("__slices")
@@ -251,17 +273,24 @@ class LatePages:
     def clock(self) -> RunningMax:
         return RunningMax(self.log, self.arrival, self.granularity_ms, limits=self.limits)
 
+    def _requests(self, clock: RunningMax) -> DataFrame:
+        return clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
+
     @cached_property
     def requests(self) -> DataFrame:
         """Page requests with ``running_max_ms`` to the granularity above."""
-        return self.clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
+        return self._requests(self.clock)
 
     def _first_open(self, pane: Column, grace_ms: int) -> Column:
-        """Index of the first of a row's windows that takes the row, given the wait after its end."""
+        """Index of the first of a row's windows that still takes it, with ``grace_ms`` to wait after its end.
+
+        One past the row's last window if none does.
+        """
         spec = self.spec
-        return F.greatest(
+        open_from = F.greatest(
             spec.first_start(pane), spec.first_start_ending_after(F.col("running_max_ms") - grace_ms)
         )
+        return F.least(open_from, spec.last_start(pane) + 1)
 
     def _counts(self, grace_ms: int) -> DataFrame:
         """Lateness only shortens a row's span of windows from the left."""
@@ -272,7 +301,6 @@ class LatePages:
                 self._first_open(pane, grace_ms).alias("lo"),
                 self.spec.last_start(pane).alias("hi"),
             )
-            .where(F.col("lo") <= F.col("hi"))
             .groupBy("url", "lo", "hi")
             .agg(F.count("*").alias("n"))
         )
@@ -298,9 +326,10 @@ class LatePages:
 
         Told apart at the coarse granularity; only what is left needs the fine lookup.
         """
+        exact = RunningMax(self.log, self.arrival, 1, limits=self.limits)
         pane = pane_of("ts", self.spec)
         last = self.spec.last_start(pane)
-        late = self.requests.where(
+        late = self._requests(exact.coarsened(self.granularity_ms)).where(
             (self.spec.first_start(pane) <= last) & (self._first_open(pane, self.lateness.closing_ms) > last)
         ).drop("running_max_ms")
-        return RunningMax(self.log, self.arrival, 1, limits=self.limits).attach(late)
+        return exact.attach(late)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.integers import floor_div
 from tidemark.functions.timing import epoch_ms, interval
+from tidemark.session import shuffle_partitions
 
 # Window starts covered by one (key, bucket) group of the running sum, as a multiple of
 # the windows a row falls in. Wide buckets repeat fewer boundary rows, narrow ones make
@@ -91,9 +92,6 @@ def sliding_counts(df: DataFrame, keys: list[str], spec: Sliding, name: str = "v
         spec.last_start(F.col("pane")).alias("hi"),
         "n",
     )
-    if spec.slide_ms > spec.size_ms:
-        # Gaps between windows: a row may belong to none.
-        spans = spans.where(F.col("lo") <= F.col("hi"))
     return span_counts(spans, keys, spec, name)
 
 
@@ -104,7 +102,7 @@ def pane_of(ts: str, spec: Sliding) -> Column:
 def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "view_count") -> DataFrame:
     """Sum ``n`` per (key, window) over rows that count in every window from ``lo`` to ``hi``.
 
-    ``lo`` must not exceed ``hi``, nor may a span hold more windows than one row can.
+    A span may be empty (``lo`` beyond ``hi``) but not hold more windows than one row can.
 
     Each span turns into two steps, +n at ``lo`` and -n after ``hi``; the count is the
     running sum of the steps and holds until the next one. Work and shuffle follow the
@@ -121,10 +119,10 @@ def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "v
             *keys,
             F.inline(
                 F.array(
-                    F.struct(first.alias("bucket"), lo.alias("at"), n.alias("step")),
+                    F.struct(F.when(lo <= hi, first).alias("bucket"), lo.alias("at"), n.alias("step")),
                     F.struct(F.when(last > first, last).alias("bucket"), (last * width).alias("at"), n.alias("step")),
                     F.struct(
-                        F.when(floor_div(hi + 1, width) == last, last).alias("bucket"),
+                        F.when((lo <= hi) & (floor_div(hi + 1, width) == last), last).alias("bucket"),
                         (hi + 1).alias("at"),
                         (-n).alias("step"),
                     ),
@@ -132,6 +130,9 @@ def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "v
             ),
         )
         .where(F.col("bucket").isNotNull())
+        # Each row grows to as many as size / slide windows after this exchange, which the
+        # bytes in it do not show: with the number given, AQE does not merge its partitions.
+        .repartition(shuffle_partitions(spans), *keys, "bucket")
     )
     # A row is at most size / slide windows long, shorter than a bucket: two buckets suffice.
     in_order = Window.partitionBy(*keys, "bucket").orderBy("at")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only what the results depend on, or what every plan here profits from. Sizing
 # (executors, memory, shuffle partitions) belongs to the cluster's own configuration.
@@ -46,6 +46,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -66,3 +70,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, for tables a job writes for itself."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a small intermediate table to the shared folder and go on from there.
+
+    For tables read several times: the pass that made them runs once, a lost executor takes
+    nothing with it, and the planner knows the size of what it reads.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.parsing import field, fields, log_time
+from tidemark.functions.parsing import field, log_time, split_lines
 from tidemark.schemas import ACCESS_LOG
 from tidemark.sources.lines import Parsed, failfast, first_reason, quarantine, read_lines, stream_lines
 
@@ -17,7 +17,7 @@ COLUMNS = ACCESS_LOG.fieldNames()
 
 def parse(lines: DataFrame, zone: str = "UTC") -> DataFrame:
     """Record columns plus ``line`` and ``reason``, which is null for a well-formed line."""
-    split = lines.select(F.col("value").alias("line"), fields(F.col("value"), " ").alias("f"))
+    split = split_lines(lines, " ")
     return split.select(
         field(F.col("f"), 0).alias("ip"),
         field(F.col("f"), 1).alias("user_id"),

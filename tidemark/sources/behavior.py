@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.parsing import field, fields, strict_integer
+from tidemark.functions.parsing import field, split_lines, strict_integer
 from tidemark.functions.timing import from_epoch_seconds
 from tidemark.schemas import USER_BEHAVIOR
 from tidemark.sources.lines import Parsed, failfast, first_reason, quarantine, read_lines, stream_lines
@@ -15,7 +15,7 @@ COLUMNS = USER_BEHAVIOR.fieldNames()
 
 def parse(lines: DataFrame) -> DataFrame:
     """Record columns plus ``line`` and ``reason``, which is null for a well-formed line."""
-    split = lines.select(F.col("value").alias("line"), fields(F.col("value"), ",").alias("f"))
+    split = split_lines(lines, ",")
     typed = split.select(
         "line",
         (F.size("f") < 5).alias("short"),

@@ -158,3 +158,17 @@ SELECT ip, user_id, CAST((ms // 1000) * 1000 AS BIGINT) AS event_ms, method, url
     "hot_items_report": _report(ITEM_COUNTS, "item_id", 5, ": 商品ID = ", " 热门度 = "),
     "hot_pages_report": _report(PAGE_COUNTS, "url", 3, ": URL = ", " Page View = "),
 }
+
+# A stream in append mode has emitted the windows that its watermark, the newest event, has passed.
+NEWEST = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
+
+STREAMS: dict[str, str] = {
+    "pv_hourly_stream": f"SELECT * FROM ({BATCH['pv_hourly']}) WHERE window_end <= {NEWEST}",
+    "uv_hourly_stream": f"SELECT * FROM ({BATCH['uv_hourly']}) WHERE window_end <= {NEWEST}",
+    "channel_behavior_counts_stream": f"""SELECT * FROM ({CHANNEL_COUNTS})
+WHERE epoch_us(CAST(window_end AS TIMESTAMP)) // 1000 <= {NEWEST}""",
+    "hot_items_top5_stream": f"SELECT * FROM ({BATCH['hot_items_top5']}) WHERE window_end <= {NEWEST}",
+    "uv_hourly_bitmap_stream": BATCH["uv_hourly_bitmap"],
+    "page_view_counts_stream": BATCH["page_view_counts"],
+    "hot_pages_top3_stream": BATCH["hot_pages_top3"],
+}

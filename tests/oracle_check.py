@@ -24,7 +24,7 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
         return f"columns {sorted(df.columns)} against {sorted(sql_columns)}"
     columns = sorted(df.columns)
     ours = df.select(*columns).toArrow()
-    theirs = con.execute(f"SELECT {', '.join(columns)} FROM ({sql})").to_arrow_table()
+    theirs = con.sql(f"SELECT {', '.join(columns)} FROM ({sql})").to_arrow_table()
     for name, a, b in zip(columns, ours.schema.types, theirs.schema.types):
         if str(a).replace("large_", "") != str(b).replace("large_", ""):
             return f"type of {name}: {a} against {b}"

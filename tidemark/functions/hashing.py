@@ -9,25 +9,34 @@ from pyspark.sql import functions as F
 SEED = 61
 BITMAP_BITS = 29
 
-# "-9223372036854775808", the longest decimal LONG.
-_LONGEST_ID = 20
+# Decimal digits of the longest LONG.
+_DIGITS = 19
+
+
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
 
 
 def visitor_slot(user_id: Column, bits: int = BITMAP_BITS, seed: int = SEED) -> Column:
     """Bitmap position of a LONG id: base-``seed`` polynomial of its decimal text, mod 2^bits.
 
-    Padding on the left with the zero character leaves the polynomial unchanged and makes
-    every text equally long, so the loop over characters becomes one flat sum with constant
-    coefficients: no lambda, and whole-stage code generation is kept. Coefficients are
-    reduced mod 2^bits first, which keeps the sum far below 2^63.
+    The text is never built. A digit's place in it fixes its coefficient, so the polynomial
+    is a sum over places with constant coefficients, all arithmetic and inside generated
+    code. Coefficients are reduced mod 2^bits first: the sum stays far below 2^63.
     """
     if not 1 <= bits <= 48:
         raise ValueError("bits must be between 1 and 48")
-    mask = (1 << bits) - 1
-    text = F.lpad(user_id.cast("string"), _LONGEST_ID, "\0")
-    total = F.lit(0).cast("bigint")
-    for position in range(_LONGEST_ID):
-        coefficient = pow(seed, _LONGEST_ID - 1 - position, 1 << bits)
-        character = F.ascii(F.substring(text, position + 1, 1)).cast("bigint")
-        total = total + character * F.lit(coefficient).cast("bigint")
-    return total.bitwiseAND(F.lit(mask).cast("bigint"))
+    modulus = 1 << bits
+    negative = user_id < 0
+    # Minus the absolute value, which exists for every LONG.
+    below_zero = F.when(negative, user_id).otherwise(-user_id)
+    total = F.when(negative, _long(ord("-"))).otherwise(_long(0))
+    for place in range(_DIGITS):
+        power = 10**place
+        coefficient, next_coefficient = pow(seed, place, modulus), pow(seed, place + 1, modulus)
+        digit = -(F.call_function("div", below_zero, _long(power)) % _long(10))
+        # A minus sign stands before the digits: every digit moves it one place on.
+        sign_moved = F.when(negative, _long(ord("-") * (next_coefficient - coefficient) % modulus)).otherwise(_long(0))
+        term = (digit + _long(ord("0"))) * _long(coefficient) + sign_moved
+        total = total + (term if place == 0 else F.when(below_zero <= _long(-power), term).otherwise(_long(0)))
+    return F.when(user_id.isNotNull(), total.bitwiseAND(_long(modulus - 1)))

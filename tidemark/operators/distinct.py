@@ -33,6 +33,6 @@ def unique_visitors_bitmap(behavior: DataFrame, size_ms: int = HOUR_MS, bits: in
     return _per_window(behavior, size_ms, F.count_distinct(slot)).withColumnRenamed("n", "uv_count")
 
 
-def unique_visitors_approx(behavior: DataFrame, size_ms: int = HOUR_MS, rsd: float = 0.01) -> DataFrame:
+def unique_visitors_approx(behavior: DataFrame, size_ms: int = HOUR_MS, rsd: float = 0.05) -> DataFrame:
     """Distinct users per window by HyperLogLog++ with relative error ``rsd``; constant state."""
     return _per_window(behavior, size_ms, F.approx_count_distinct("user_id", rsd)).withColumnRenamed("n", "uv_count")

@@ -18,8 +18,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if equal, else what differs."""
-    result = con.execute(sql)
-    sql_columns = [d[0] for d in result.description]
+    sql_columns = con.sql(sql).columns
     if sorted(sql_columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(sql_columns)}"
     columns = sorted(df.columns)

@@ -20,13 +20,13 @@ def slot(user_id: int, bits: int) -> int:
 def test_slots(spark, bits):
     rng = random.Random(bits)
     ids = [0, 1, -1, -5, 543462, 2**63 - 1, -(2**63)] + [rng.randrange(-(2**63), 2**63) for _ in range(200)]
-    df = spark.createDataFrame([(i,) for i in ids], "id bigint").select("id", visitor_slot(F.col("id"), bits).alias("slot"))
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint").select("id", visitor_slot("id", bits).alias("slot"))
     assert {r.id: r.slot for r in df.collect()} == {i: slot(i, bits) for i in ids}
 
 
 def test_known_slots(spark):
     known = {543462: 398203944, 9223372036854775807: 206843804, -5: 2798}
-    df = spark.createDataFrame([(i,) for i in known], "id bigint").select("id", visitor_slot(F.col("id")).alias("slot"))
+    df = spark.createDataFrame([(i,) for i in known], "id bigint").select("id", visitor_slot("id").alias("slot"))
     assert {r.id: r.slot for r in df.collect()} == known
 
 

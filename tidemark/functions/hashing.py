@@ -13,12 +13,8 @@ BITMAP_BITS = 29
 _DIGITS = 19
 
 
-def _long(value: int) -> Column:
-    return F.lit(value).cast("bigint")
-
-
-def visitor_slot(user_id: Column, bits: int = BITMAP_BITS, seed: int = SEED) -> Column:
-    """Bitmap position of a LONG id: base-``seed`` polynomial of its decimal text, mod 2^bits.
+def visitor_slot(user_id: str, bits: int = BITMAP_BITS, seed: int = SEED) -> Column:
+    """Bitmap position of a LONG id column: base-``seed`` polynomial of its decimal text, mod 2^bits.
 
     The text is never built. A digit's place in it fixes its coefficient, so the polynomial
     is a sum over places with constant coefficients, all arithmetic and inside generated
@@ -27,16 +23,18 @@ def visitor_slot(user_id: Column, bits: int = BITMAP_BITS, seed: int = SEED) ->
     if not 1 <= bits <= 48:
         raise ValueError("bits must be between 1 and 48")
     modulus = 1 << bits
-    negative = user_id < 0
+    zero, minus = ord("0"), ord("-")
+    negative = f"(`{user_id}` < 0)"
     # Minus the absolute value, which exists for every LONG.
-    below_zero = F.when(negative, user_id).otherwise(-user_id)
-    total = F.when(negative, _long(ord("-"))).otherwise(_long(0))
+    below_zero = f"(CASE WHEN {negative} THEN `{user_id}` ELSE -`{user_id}` END)"
+    terms = [f"(CASE WHEN {negative} THEN {minus}L ELSE 0L END)"]
     for place in range(_DIGITS):
-        power = 10**place
-        coefficient, next_coefficient = pow(seed, place, modulus), pow(seed, place + 1, modulus)
-        digit = -(F.call_function("div", below_zero, _long(power)) % _long(10))
+        power, coefficient = 10**place, pow(seed, place, modulus)
         # A minus sign stands before the digits: every digit moves it one place on.
-        sign_moved = F.when(negative, _long(ord("-") * (next_coefficient - coefficient) % modulus)).otherwise(_long(0))
-        term = (digit + _long(ord("0"))) * _long(coefficient) + sign_moved
-        total = total + (term if place == 0 else F.when(below_zero <= _long(-power), term).otherwise(_long(0)))
-    return F.when(user_id.isNotNull(), total.bitwiseAND(_long(modulus - 1)))
+        sign_moved = minus * (pow(seed, place + 1, modulus) - coefficient) % modulus
+        terms.append(
+            f"(CASE WHEN {power == 1} OR {below_zero} <= -{power}L"
+            f" THEN ({zero}L - ({below_zero} div {power}L) % 10L) * {coefficient}L"
+            f" + (CASE WHEN {negative} THEN {sign_moved}L ELSE 0L END) ELSE 0L END)"
+        )
+    return F.expr(f"CASE WHEN `{user_id}` IS NOT NULL THEN ({' + '.join(terms)}) & {modulus - 1}L END")

@@ -16,23 +16,24 @@ from tidemark.operators.counts import page_views_only
 from tidemark.operators.windows import tumbling, window_end
 
 
-def _per_window(behavior: DataFrame, size_ms: int, measure: Column) -> DataFrame:
-    counted = page_views_only(behavior).groupBy(tumbling(size_ms)).agg(measure.alias("n"))
-    return counted.select(window_end(), "n")
+def _per_window(behavior: DataFrame, size_ms: int, who: Column, measure: Column) -> DataFrame:
+    visits = page_views_only(behavior).select(tumbling(size_ms), who.alias("who"))
+    return visits.groupBy("w").agg(measure.alias("n")).select(window_end(), "n")
 
 
 def unique_visitors(behavior: DataFrame, size_ms: int = HOUR_MS) -> DataFrame:
     """Exact distinct users per window."""
-    counted = _per_window(behavior, size_ms, F.count_distinct("user_id"))
+    counted = _per_window(behavior, size_ms, F.col("user_id"), F.count_distinct("who"))
     return counted.select(F.lit("uv").alias("name"), "window_end", F.col("n").alias("count"))
 
 
 def unique_visitors_bitmap(behavior: DataFrame, size_ms: int = HOUR_MS, bits: int = BITMAP_BITS) -> DataFrame:
     """Bits set in a 2^bits bitmap per window: distinct hash slots, whatever the row order."""
-    slot = visitor_slot(F.col("user_id"), bits)
-    return _per_window(behavior, size_ms, F.count_distinct(slot)).withColumnRenamed("n", "uv_count")
+    slot = visitor_slot("user_id", bits)
+    return _per_window(behavior, size_ms, slot, F.count_distinct("who")).withColumnRenamed("n", "uv_count")
 
 
 def unique_visitors_approx(behavior: DataFrame, size_ms: int = HOUR_MS, rsd: float = 0.05) -> DataFrame:
     """Distinct users per window by HyperLogLog++ with relative error ``rsd``; constant state."""
-    return _per_window(behavior, size_ms, F.approx_count_distinct("user_id", rsd)).withColumnRenamed("n", "uv_count")
+    sketch = F.approx_count_distinct("who", rsd)
+    return _per_window(behavior, size_ms, F.col("user_id"), sketch).withColumnRenamed("n", "uv_count")

@@ -34,8 +34,16 @@ def event_columns(events: DataFrame) -> DataFrame:
     )
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_columns(configure(spark).read.parquet(f"{sf_dir}/events.parquet"))
+    return event_columns(configure(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = configure(spark).readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
+    return event_columns(folder.parquet(sf_dir))
 
 
 def as_behavior(e: DataFrame) -> DataFrame:

@@ -36,6 +36,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python line behind every column doubles the time to build a query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )

@@ -104,7 +104,7 @@ class RunningVisitors:
         self.bits = bits
 
     def start(self, behavior: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-        slotted = behavior.withColumn("slot", visitor_slot(F.col("user_id"), self.bits))
+        slotted = behavior.withColumn("slot", visitor_slot("user_id", self.bits))
         new = _first_seen(slotted, "slot", self.size_ms).select(window_end())
 
         def act(batch: DataFrame, batch_id: int) -> None:

@@ -75,7 +75,7 @@ def test_closed_windows_equal_batch(spark, files, tmp_path):
     assert as_set(drain(spark, jobs.page_views_stream(stream()), tmp_path, "pv")) == as_set(counts.page_views(batch))
     assert as_set(drain(spark, jobs.unique_visitors_stream(stream()), tmp_path, "uv")) == as_set(distinct.unique_visitors(batch))
     query, rankings = jobs.rank_closed_windows(
-        jobs.item_counts_stream(stream()), 2, "item_id", str(tmp_path / "top"), str(tmp_path / "top-cp"), once=True
+        spark, jobs.item_counts_stream(stream()), 2, "item_id", str(tmp_path / "top"), str(tmp_path / "top-cp"), once=True
     )
     query.awaitTermination()
     assert as_set(rankings.read().drop("batch_id")) == as_set(top_n(counts.item_view_counts(batch), 2, "item_id"))

@@ -132,7 +132,7 @@ def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "v
         .where(F.col("bucket").isNotNull())
         # Each row grows to as many as size / slide windows after this exchange, which the
         # bytes in it do not show: with the number given, AQE does not merge its partitions.
-        .repartition(shuffle_partitions(spans), *keys, "bucket")
+        .repartition(shuffle_partitions(spans.sparkSession), *keys, "bucket")
     )
     # A row is at most size / slide windows long, shorter than a bucket: two buckets suffice.
     in_order = Window.partitionBy(*keys, "bucket").orderBy("at")

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import views
-from tidemark.session import work_dir
+from tidemark.session import streaming_session, work_dir
 from tidemark.streaming import jobs
 from tidemark.streaming.sinks import to_parquet
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.event_stream(streaming_session(spark), sf_dir)
+
+
 def _closed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Windows the stream has closed by the end of its input."""
     base = work_dir(spark, name)
@@ -19,24 +23,26 @@ def _closed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def pv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    behavior = views.as_behavior(views.event_stream(spark, sf_dir))
+    behavior = views.as_behavior(_events(spark, sf_dir))
     return _closed(spark, jobs.page_views_stream(behavior), "pv")
 
 
 def uv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    behavior = views.as_behavior(views.event_stream(spark, sf_dir))
+    behavior = views.as_behavior(_events(spark, sf_dir))
     return _closed(spark, jobs.unique_visitors_stream(behavior), "uv")
 
 
 def channel_behavior_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marketing = views.as_marketing(views.event_stream(spark, sf_dir))
+    marketing = views.as_marketing(_events(spark, sf_dir))
     return _closed(spark, jobs.channel_counts_stream(marketing), "channels")
 
 
 def hot_items_top5_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "hot-items")
-    counts = jobs.item_counts_stream(views.as_behavior(views.event_stream(spark, sf_dir)))
-    query, rankings = jobs.rank_closed_windows(counts, 5, "item_id", f"{base}/out", f"{base}/checkpoint", once=True)
+    counts = jobs.item_counts_stream(views.as_behavior(_events(spark, sf_dir)))
+    query, rankings = jobs.rank_closed_windows(
+        spark, counts, 5, "item_id", f"{base}/out", f"{base}/checkpoint", once=True
+    )
     query.awaitTermination()
     return rankings.read().drop("batch_id")
 
@@ -44,7 +50,7 @@ def hot_items_top5_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def uv_hourly_bitmap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "running-uv")
     visitors = jobs.RunningVisitors(spark, f"{base}/out")
-    behavior = views.as_behavior(views.event_stream(spark, sf_dir))
+    behavior = views.as_behavior(_events(spark, sf_dir))
     visitors.start(behavior, f"{base}/checkpoint", once=True).awaitTermination()
     return visitors.current()
 
@@ -52,7 +58,7 @@ def uv_hourly_bitmap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _revised(spark: SparkSession, sf_dir: str) -> jobs.RevisedPages:
     base = work_dir(spark, "hot-pages")
     pages = jobs.RevisedPages(spark, f"{base}/out")
-    log = views.as_access_log(views.event_stream(spark, sf_dir))
+    log = views.as_access_log(_events(spark, sf_dir))
     pages.start(log, f"{base}/checkpoint", once=True).awaitTermination()
     return pages
 

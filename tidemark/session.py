@@ -48,8 +48,31 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def shuffle_partitions(spark: SparkSession) -> int:
+    """As configured; on a single machine no more than it has cores."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sc = spark.sparkContext
+    return min(configured, sc.defaultParallelism) if sc.master.startswith("local") else configured
+
+
+# State grows with keys and open windows, beyond what fits a heap; only changes are uploaded.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for stateful streams.
+
+    A stream keeps the number of state partitions it was first started with. It is taken
+    from here, so that it and the state store are set for streams alone.
+    """
+    session = configure(spark.newSession())
+    for key, value in STATE_STORE.items():
+        session.conf.set(key, value)
+    session.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(spark)))
+    return session
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -72,14 +72,13 @@ def ranking_schema(key: str, key_type) -> StructType:
 
 
 def rank_closed_windows(
-    counts: DataFrame, n: int, key: str, out: str, checkpoint: str, once: bool = False
+    spark: SparkSession, counts: DataFrame, n: int, key: str, out: str, checkpoint: str, once: bool = False
 ) -> tuple[StreamingQuery, BatchTable]:
     """Top-N of an append-mode count stream.
 
     A window's counts all arrive in the batch that closes it, so the ranking of a batch is
     final. It runs as a batch query, and no window's keys are gathered into one state row.
     """
-    spark = counts.sparkSession
     rankings = BatchTable(spark, out, ranking_schema(key, counts.schema[key].dataType))
 
     def act(batch: DataFrame, batch_id: int) -> None:

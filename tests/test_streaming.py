@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timing import filter_after_watermark, monotone_watermark
 from tidemark.operators import counts, distinct
+from tidemark.operators.lateness import Lateness
 from tidemark.operators.topn import top_n
 from tidemark.operators.windows import Sliding
 from tidemark.schemas import ACCESS_LOG
@@ -105,7 +106,7 @@ def test_running_visitors_and_replay(spark, files, tmp_path):
     expected = {r.window_end: r.uv_count for r in distinct.unique_visitors_bitmap(behavior(spark, ROWS)).collect()}
     found = lambda: {r.window_end: r.uv_count for r in visitors.current().collect()}
     assert found() == expected
-    batch = visitors.table.read_batch(1).cache()
+    batch = visitors.table.read_batches([1]).cache()
     batch.count()
     visitors.table.write(batch, 1)
     assert found() == expected
@@ -142,6 +143,26 @@ def test_rankings_are_revised_by_late_rows(spark, files, tmp_path):
     assert [r.url for r in history.orderBy("batch_id").collect()] == ["/a", "/b"]
 
 
+def test_snapshots_keep_what_can_still_change_and_only_that(spark, files, tmp_path, monkeypatch):
+    """Many small batches in order, each with a row a little late, ranked from snapshots."""
+    monkeypatch.setattr(jobs.RevisedPages, "SNAPSHOT_EVERY", 3)
+    spec, lateness = Sliding(10_000, 5_000), Lateness(1_000, 9_000)
+    rows = []
+    for i in range(11):
+        at = START + i * 20_000
+        batch = [(f"/{i % 3}", at), ("/x", at + 1_000), ("/late", max(START, at - 9_000))]
+        rows += batch
+        files(f"{i:02d}.log", [log_line(*r) for r in batch])
+    pages = jobs.RevisedPages(spark, str(tmp_path / "pages"), n=2, spec=spec, lateness=lateness)
+    pages.start(stream_access_log(spark, files.path, max_files=1), str(tmp_path / "cp"), once=True).awaitTermination()
+    expected = brute_counts(rows, 10_000, 5_000)
+    assert as_counter(pages.current_counts(), "url") == expected
+    complete = spark.createDataFrame([(u, e, c) for (u, e), c in expected.items()], "url string, window_end bigint, view_count bigint")
+    assert {tuple(r) for r in pages.current_ranking().collect()} == {tuple(r) for r in top_n(complete, 2, "url").collect()}
+    kept = pages.snapshots.read().groupBy("batch_id").agg(F.min("window_end").alias("oldest")).orderBy("batch_id").collect()
+    assert kept[-1].batch_id >= 9 and kept[-1].oldest > START + 60_000
+
+
 def test_replaying_a_batch_of_counts_changes_nothing(spark, tmp_path):
     pages = jobs.RevisedPages(spark, str(tmp_path / "pages"), n=2, spec=Sliding(10_000, 5_000))
     schema = "url string, window_end bigint, view_count bigint"
@@ -204,5 +225,5 @@ def test_console_sink(spark, files, tmp_path):
 def test_batch_table_is_readable_before_the_first_batch(spark, tmp_path):
     table = BatchTable(spark, str(tmp_path / "t"), ACCESS_LOG)
     assert table.read().count() == 0
-    assert table.read_batch(0).count() == 0
+    assert table.read_batches([0, 7]).count() == 0
     assert len(ACCESS_LOG.fields) == 5, "reading must not change the shared schema"

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.functions.hashing import BITMAP_BITS, visitor_slot
-from tidemark.functions.integers import floor_div
 from tidemark.functions.timing import HOUR_MS, bounded_watermark, epoch_ms, monotone_watermark
 from tidemark.operators.counts import (
     HOT_ITEM_WINDOWS,
@@ -121,11 +120,13 @@ class RevisedPages:
     Counts leave the state store in update mode, as they change. A count never falls, so the
     newest of a (URL, window) is the largest, in whatever order batches are read. Each batch
     ranks again the windows it touched, over their complete counts.
+
+    To find those, a batch reads back no more than the last snapshot and the changes since.
+    A snapshot holds the windows that can still change, so neither grows with the stream's age.
     """
 
-    # Window ends per table partition. A batch reads back the days it touches, and within
-    # them, by the files' own minima and maxima, the window ends it touches.
-    PARTITION_MS = 24 * HOUR_MS
+    # Spark judges lateness by the watermark of the batch before: at least 3.
+    SNAPSHOT_EVERY = 50
 
     def __init__(
         self,
@@ -135,13 +136,9 @@ class RevisedPages:
         spec: Sliding = HOT_PAGE_WINDOWS,
         lateness: Lateness = Lateness(),
     ) -> None:
-        part = StructField("part", LongType())
-        self.counts = BatchTable(
-            spark, f"{out}/counts", StructType([*PAGE_VIEW_COUNT.fields, part]), partition_by=("part",)
-        )
-        self.rankings = BatchTable(
-            spark, f"{out}/rankings", StructType([*ranking_schema("url", StringType()).fields, part]), partition_by=("part",)
-        )
+        self.counts = BatchTable(spark, f"{out}/counts", PAGE_VIEW_COUNT)
+        self.snapshots = BatchTable(spark, f"{out}/snapshots", PAGE_VIEW_COUNT)
+        self.rankings = BatchTable(spark, f"{out}/rankings", ranking_schema("url", StringType()))
         self.n = n
         self.spec = spec
         self.lateness = lateness
@@ -150,20 +147,36 @@ class RevisedPages:
         counted = page_view_counts(bounded_watermark(log, self.lateness.closing_ms), self.spec)
         return for_each_batch(counted, self.apply, checkpoint, mode="update", once=once)
 
-    def _with_part(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("part", floor_div(F.col("window_end"), self.PARTITION_MS))
-
     def apply(self, changed: DataFrame, batch_id: int) -> None:
-        self.counts.write(self._with_part(changed), batch_id)
-        touched = self.counts.read_batch(batch_id).select("part", "window_end").distinct()
-        span = touched.agg(F.min("window_end").alias("first"), F.max("window_end").alias("last")).first()
-        known = self.counts.read(up_to=batch_id)
-        if span["first"] is not None:
-            known = known.where(F.col("window_end").between(span["first"], span["last"])).where(
-                F.col("part").between(span["first"] // self.PARTITION_MS, span["last"] // self.PARTITION_MS)
-            )
-        complete = self._latest(known.join(touched, ["part", "window_end"], "left_semi"))
-        self.rankings.write(self._with_part(top_n(complete, self.n, "url")), batch_id)
+        self.counts.write(changed, batch_id)
+        touched = self.counts.read_batches([batch_id]).select("window_end").distinct()
+        known = self._known(batch_id)
+        ranking = top_n(known.join(touched, "window_end", "left_semi"), self.n, "url")
+        self.rankings.write(ranking, batch_id)
+        if batch_id % self.SNAPSHOT_EVERY == 0:
+            self.snapshots.write(self._still_open(known, batch_id), batch_id)
+
+    def _last_snapshot(self, batch_id: int) -> DataFrame:
+        last = (batch_id - 1) // self.SNAPSHOT_EVERY * self.SNAPSHOT_EVERY
+        return self.snapshots.read_batches([last] if last >= 0 else [])
+
+    def _known(self, batch_id: int) -> DataFrame:
+        """Latest count of every (URL, window) that this batch can have touched."""
+        after = (batch_id - 1) // self.SNAPSHOT_EVERY * self.SNAPSHOT_EVERY + 1
+        changes = self.counts.read_batches(range(max(after, 0), batch_id + 1))
+        return self._latest(self._last_snapshot(batch_id).unionByName(changes))
+
+    def _still_open(self, known: DataFrame, batch_id: int) -> DataFrame:
+        """All but the windows that no later batch can change.
+
+        The newest row behind the snapshot before this one is at most ``size`` older than the
+        newest window end in it. The watermark has trailed that row by the closing time since
+        soon after, and Spark drops what comes for windows behind the watermark.
+        """
+        newest = self._last_snapshot(batch_id).agg(F.max("window_end")).first()[0]
+        if newest is None:
+            return known
+        return known.where(F.col("window_end") > newest - self.spec.size_ms - self.lateness.closing_ms)
 
     @staticmethod
     def _latest(counts: DataFrame) -> DataFrame:
@@ -204,9 +217,9 @@ class LateSplitter:
         return for_each_batch(log, self.apply, checkpoint, once=once)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.clock.read(up_to=batch_id - 1).agg(F.max("newest_ms")).first()[0]
+        before = self.clock.read_batches([batch_id - 1]).agg(F.max("newest_ms")).first()[0]
         last_end = self.spec.end_ms(self.spec.last_start(pane_of("ts", self.spec)))
         too_late = F.lit(before).cast("bigint") >= last_end + self.lateness.closing_ms
         self.late.write(page_requests_only(batch).where(too_late), batch_id)
-        newest = F.max(epoch_ms(F.col("ts")))
+        newest = F.greatest(F.max(epoch_ms(F.col("ts"))), F.lit(before).cast("bigint"))
         self.clock.write(batch.agg(newest.alias("newest_ms")), batch_id)

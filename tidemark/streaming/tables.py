@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
@@ -18,15 +19,26 @@ class BatchTable:
         # An empty batch before the first one, so that the table can always be read.
         self.write(spark.createDataFrame([], schema), -1)
 
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.path}/batch_id={batch_id}"
+
     def write(self, rows: DataFrame, batch_id: int) -> None:
         named = rows.select(*self.schema.fieldNames())
-        named.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/batch_id={batch_id}")
+        named.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._folder(batch_id))
 
-    def read(self, up_to: int | None = None) -> DataFrame:
-        """All batches so far, with ``batch_id``; folders of later ones are not read."""
+    def _reader(self):
         with_batch = StructType([*self.schema.fields, StructField("batch_id", LongType())])
-        rows = self.spark.read.schema(with_batch).parquet(self.path)
-        return rows if up_to is None else rows.where(F.col("batch_id") <= up_to)
+        return self.spark.read.schema(with_batch).option("basePath", self.path)
+
+    def read(self) -> DataFrame:
+        """All batches, with ``batch_id``. Lists every folder: for reports, not for every batch."""
+        return self._reader().parquet(self.path)
+
+    def read_batches(self, batch_ids: Iterable[int]) -> DataFrame:
+        """Only the folders of these batches, as far as they exist; others are not even listed."""
+        return self._reader().parquet(*[self._folder(i) for i in (-1, *batch_ids) if i == -1 or self._exists(i)])
 
-    def read_batch(self, batch_id: int) -> DataFrame:
-        return self.read().where(F.col("batch_id") == batch_id)
+    def _exists(self, batch_id: int) -> bool:
+        sc = self.spark.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(self._folder(batch_id))
+        return folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder)

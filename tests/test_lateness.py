@@ -98,13 +98,16 @@ def test_running_max_with_equal_arrivals(spark, limits, granularity):
     assert {r.id: r.running_max_ms for r in found.collect()} == floored
 
 
-def test_coarsened_marks_agree_with_a_pass_of_their_own(spark):
+@pytest.mark.parametrize("limits", [BROADCAST, SORTED], ids=["broadcast", "sorted"])
+def test_sharpened_maximum_is_exact(spark, limits):
+    """Many values within one stretch, and one row far ahead that all later rows look up."""
     rng = random.Random(9)
-    rows = [(i, "/a", 1_700_000_000_000 + rng.randrange(0, 900_000)) for i in range(300)]
-    df = log(spark, rows)
-    fine = RunningMax(df, ["arrival"], 1)
-    marks = {tuple(r) for r in fine.coarsened(5_000).marks.collect()}
-    assert marks == {tuple(r) for r in RunningMax(df, ["arrival"], 5_000).marks.collect()}
+    raw = [(i, i % 3, 1_700_000_000_000 + rng.randrange(0, 12_000)) for i in range(300)]
+    raw += [(300, 0, 1_800_000_000_000)] + [(301 + i, 0, 1_700_000_000_000 + i) for i in range(100)]
+    df = spark.createDataFrame(raw, "arrival bigint, id bigint, at bigint").withColumn("ts", F.timestamp_millis("at"))
+    clock = RunningMax(df, ["arrival", "id"], 5_000, limits=limits)
+    expected = {a: m for (a, _, _), m in zip(raw, running_max([((a, i), t) for a, i, t in raw]))}
+    assert {r.arrival: r.running_max_ms for r in clock.sharpen(clock.attach(df)).collect()} == expected
 
 
 def test_rows_that_are_filtered_out_still_move_the_clock(spark):

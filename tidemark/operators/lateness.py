@@ -107,19 +107,6 @@ class RunningMax:
             "arrival-marks",
         )
 
-    def coarsened(self, factor: int) -> RunningMax:
-        """The same at ``factor`` times the granularity, from the marks at hand: no second pass."""
-        coarse = RunningMax(
-            self.rows, self.arrival, self.granularity_ms * factor, self.ts, self.bucket_ms, self.limits
-        )
-        coarse.marks = materialize(
-            self.marks.groupBy("bucket", floor_div(F.col("cell"), factor).alias("cell")).agg(
-                F.min("seen").alias("seen"), F.sum("n").alias("n")
-            ),
-            "arrival-marks",
-        )
-        return coarse
-
     @cached_property
     def buckets(self) -> DataFrame:
         """Per arrival bucket: its rows, and ``carry``, the newest cell of all earlier buckets.
@@ -246,6 +233,35 @@ class RunningMax:
             .select(*columns, "__cell")
         )
 
+    def sharpen(self, rows: DataFrame, name: str = "running_max_ms") -> DataFrame:
+        """Replace the attached, rounded maximum by the exact one; for the few rows that need it.
+
+        The rounded value names the stretch of event time the exact one lies in. That holds at
+        most ``granularity_ms`` different values, and of those only the ones that arrived before
+        every larger one, so each list is short however many rows are behind it. A stretch that
+        many rows ask for is left to Spark's skew join, which copies the list.
+        """
+        value = epoch_ms(F.col(self.ts))
+        larger = Window.partitionBy("__cell").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
+        lists = (
+            self.rows.where(F.col(self.ts).isNotNull())
+            .groupBy(value.alias("at"))
+            .agg(F.min(self._order()).alias("seen"))
+            .withColumn("__cell", floor_div(F.col("at"), self.granularity_ms))
+            .withColumn("before", F.min("seen").over(larger))
+            .where(F.col("before").isNull() | (F.col("seen") < F.col("before")))
+            .groupBy("__cell")
+            .agg(F.collect_list(F.struct("seen", "at")).alias("__marks"))
+        )
+        here = self._order()
+        passed = F.filter("__marks", lambda m: m["seen"] < here)
+        return (
+            rows.withColumn("__cell", floor_div(F.col(name), self.granularity_ms))
+            .join(lists, "__cell", "left")
+            .withColumn(name, F.array_max(F.transform(passed, lambda m: m["at"])))
+            .drop("__cell", "__marks")
+        )
+
 
 class LatePages:
     """Page counts over disordered access-log rows, with first and final results and late rows."""
@@ -273,13 +289,10 @@ class LatePages:
     def clock(self) -> RunningMax:
         return RunningMax(self.log, self.arrival, self.granularity_ms, limits=self.limits)
 
-    def _requests(self, clock: RunningMax) -> DataFrame:
-        return clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
-
     @cached_property
     def requests(self) -> DataFrame:
         """Page requests with ``running_max_ms`` to the granularity above."""
-        return self._requests(self.clock)
+        return self.clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
 
     def _first_open(self, pane: Column, grace_ms: int) -> Column:
         """Index of the first of a row's windows that still takes it, with ``grace_ms`` to wait after its end.
@@ -322,14 +335,10 @@ class LatePages:
         return top_n(self.final_counts(), n, "url")
 
     def late_rows(self) -> DataFrame:
-        """Requests too late for every window they belong to, with the exact running maximum.
-
-        Told apart at the coarse granularity; only what is left needs the fine lookup.
-        """
-        exact = RunningMax(self.log, self.arrival, 1, limits=self.limits)
+        """Requests too late for every window they belong to, with the exact running maximum."""
         pane = pane_of("ts", self.spec)
         last = self.spec.last_start(pane)
-        late = self._requests(exact.coarsened(self.granularity_ms)).where(
+        late = self.requests.where(
             (self.spec.first_start(pane) <= last) & (self._first_open(pane, self.lateness.closing_ms) > last)
-        ).drop("running_max_ms")
-        return exact.attach(late)
+        )
+        return self.clock.sharpen(late)

@@ -12,12 +12,13 @@ def fields(line: Column, separator: str) -> Column:
 
 
 def split_lines(lines: DataFrame, separator: str) -> DataFrame:
-    """``line`` and its fields ``f``, split once per line.
+    """``line`` and its fields ``f``, split once per line; other columns stay.
 
     Catalyst copies a projected expression into every filter above it. It does not look
     behind a generator, so the split is handed on through one, as an array of one array.
     """
-    return lines.select(F.col("value").alias("line"), F.explode(F.array(fields(F.col("value"), separator))).alias("f"))
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(*others, F.col("value").alias("line"), F.explode(F.array(fields(F.col("value"), separator))).alias("f"))
 
 
 def field(parts: Column, index: int) -> Column:

@@ -10,15 +10,26 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import field, log_time, split_lines
 from tidemark.schemas import ACCESS_LOG
-from tidemark.sources.lines import Parsed, failfast, first_reason, quarantine, read_lines, stream_lines
+from tidemark.sources.lines import (
+    ARRIVAL,
+    Parsed,
+    failfast,
+    first_reason,
+    quarantine,
+    read_arriving_lines,
+    read_lines,
+    stream_lines,
+)
 
 COLUMNS = ACCESS_LOG.fieldNames()
 
 
 def parse(lines: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Record columns plus ``line`` and ``reason``, which is null for a well-formed line."""
+    """Record columns, whatever else ``lines`` carries, and ``line`` and ``reason``, which is null for a well-formed line."""
     split = split_lines(lines, " ")
+    others = [c for c in split.columns if c not in ("line", "f")]
     return split.select(
+        *others,
         field(F.col("f"), 0).alias("ip"),
         field(F.col("f"), 1).alias("user_id"),
         log_time(field(F.col("f"), 3), zone).alias("ts"),
@@ -28,6 +39,7 @@ def parse(lines: DataFrame, zone: str = "UTC") -> DataFrame:
         F.size("f").alias("n_fields"),
     ).select(
         *COLUMNS,
+        *others,
         "line",
         first_reason((F.col("n_fields") < 7, "too few fields"), (F.col("ts").isNull(), "time")).alias("reason"),
     )
@@ -48,6 +60,16 @@ def read_access_log(
     return records(read_lines(spark, path), mode, zone)
 
 
+def land_access_log(spark: SparkSession, path: str | list[str], out: str, zone: str = "UTC") -> DataFrame:
+    """Write log files to a Parquet table that keeps the order the lines came in.
+
+    What lateness is judged on: the table has the record columns and those of ``ARRIVAL``.
+    """
+    parsed = failfast(parse(read_arriving_lines(spark, path), zone), [*COLUMNS, *ARRIVAL])
+    parsed.write.mode("overwrite").parquet(out)
+    return spark.read.schema(parsed.schema).parquet(out)
+
+
 def stream_access_log(
     spark: SparkSession, path: str, mode: str = "failfast", zone: str = "UTC", max_files: int | None = None
 ) -> DataFrame | Parsed:

@@ -22,6 +22,27 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _trimmed(configure(spark).read.options(**_LINE_END).text(path))
 
 
+# Columns that order the lines of a set of files as they came in: by the time a file was
+# finished, then its path, then the place in it.
+ARRIVAL = ["arrived_ms", "file", "block", "line_in_block"]
+
+
+def read_arriving_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with the :data:`ARRIVAL` columns.
+
+    A block of a file is read by one task, in order, so the id Spark gives rows orders its lines.
+    The ids hold within one read only: write the result out before using it twice.
+    """
+    lines = configure(spark).read.options(**_LINE_END).text(path)
+    return lines.select(
+        F.regexp_replace("value", "\r\\z", "").alias("value"),
+        F.unix_millis("_metadata.file_modification_time").alias("arrived_ms"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_in_block"),
+    )
+
+
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Lines of the files that appear in a folder."""
     reader = configure(spark).readStream.options(**_LINE_END)

@@ -11,8 +11,8 @@ from tidemark.plans import views
 
 SIZE, SLIDE = 600_000, 5_000
 BROADCAST = LookupLimits()
-# No mark may be broadcast, and a bucket of ten rows is already cut up.
-SORTED = LookupLimits(marks=0, rows_per_task=10)
+# No step may be broadcast, and a bucket of ten rows is already cut up.
+SORTED = LookupLimits(steps=0, rows_per_task=10)
 
 
 def expected_counts(rows, grace, size=SIZE, slide=SLIDE):

@@ -6,7 +6,7 @@ row counts in the window's first result if ``M < E + disorder``, in its revised
 ``M < E + disorder + lateness``, and is late if it is too late for the last of its windows.
 
 ``M`` is a running maximum over the whole input in arrival order, but no row is ever sorted
-for it. ``arrival_marks`` reduces the input to when each stretch of event time first showed
+for it. ``RunningMax.marks`` reduces the input to when each stretch of event time first showed
 up in each stretch of arrival time. That table's size follows the time covered, not the
 rows, and it holds all there is to know about ``M`` up to a chosen granularity. Rows then
 look their value up. As sizes and delays are multiples of the slide, knowing ``M`` to the
@@ -29,13 +29,13 @@ from tidemark.operators.topn import top_n
 from tidemark.operators.windows import Sliding, pane_of, span_counts
 from tidemark.session import materialize
 
-# Arrival time per bucket. Narrower means fewer marks to compare per row, wider fewer buckets.
+# Arrival time per bucket. Narrower means fewer steps to compare per row, wider fewer buckets.
 BUCKET_MS = MINUTE_MS
 # Buckets per block of the two-level running maximum over buckets.
 BLOCK = 4096
-# Largest mark table to broadcast, at some 50 bytes a mark, and most marks to compare in a row.
-BROADCAST_MARKS = 1_000_000
-BROADCAST_MARKS_PER_BUCKET = 256
+# Largest table of steps to broadcast, at some 50 bytes a step, and most steps to compare per row.
+BROADCAST_STEPS = 1_000_000
+BROADCAST_STEPS_PER_BUCKET = 256
 # Rows of one arrival bucket per task when the lookup has to shuffle.
 ROWS_PER_TASK = 4_000_000
 
@@ -54,10 +54,10 @@ class Lateness:
 
 @dataclass(frozen=True)
 class LookupLimits:
-    """When marks may be broadcast, and how finely a busy bucket is split when they are not."""
+    """When steps may be broadcast, and how finely a busy bucket is split when they are not."""
 
-    marks: int = BROADCAST_MARKS
-    marks_per_bucket: int = BROADCAST_MARKS_PER_BUCKET
+    steps: int = BROADCAST_STEPS
+    steps_per_bucket: int = BROADCAST_STEPS_PER_BUCKET
     rows_per_task: int = ROWS_PER_TASK
 
 
@@ -95,7 +95,7 @@ class RunningMax:
     def marks(self) -> DataFrame:
         """First arrival of each event-time cell per arrival bucket, and the rows it stands for.
 
-        Read several times and asked for its size, so it is written out once.
+        Read several times, so it is written out once.
         """
         return materialize(
             self.rows.where(F.col(self.ts).isNotNull())
@@ -109,12 +109,12 @@ class RunningMax:
 
     @cached_property
     def buckets(self) -> DataFrame:
-        """Per arrival bucket: its rows, and ``carry``, the newest cell of all earlier buckets.
+        """Per arrival bucket ``carry``, the newest cell of all earlier buckets.
 
         The running maximum over buckets is taken within blocks and over blocks. Only the
         latter meets in one task, with one row per ``BLOCK`` buckets that hold any rows.
         """
-        per_bucket = self.marks.groupBy("bucket").agg(F.max("cell").alias("top"), F.sum("n").alias("rows"))
+        per_bucket = self.marks.groupBy("bucket").agg(F.max("cell").alias("top"))
         blocked = per_bucket.withColumn("block", floor_div(F.col("bucket"), BLOCK))
         earlier = (Window.unboundedPreceding, -1)
         over_blocks = Window.orderBy("block").rowsBetween(*earlier)
@@ -127,75 +127,72 @@ class RunningMax:
         return (
             blocked.withColumn("within", F.max("top").over(in_block))
             .join(blocks, "block")
-            .select("bucket", "rows", F.greatest("within", "before").alias("carry"))
+            .select("bucket", F.greatest("within", "before").alias("carry"))
         )
 
-    def _judged_marks(self) -> DataFrame:
-        """Marks with the ``carry`` of their bucket, and whether they raise the running maximum."""
+    @cached_property
+    def steps(self) -> DataFrame:
+        """Where the running maximum rises: per bucket, when (``seen``) and to what (``cell``).
+
+        What earlier buckets reached stands in each bucket as a step with a null arrival.
+        """
         in_bucket = Window.partitionBy("bucket").orderBy("seen").rowsBetween(Window.unboundedPreceding, -1)
-        reached = F.greatest(F.max("cell").over(in_bucket), F.col("carry"))
-        return (
+        rising = (
             self.marks.join(self.buckets.select("bucket", "carry"), "bucket")
-            .withColumn("reached", reached)
-            .select(
-                "bucket",
-                "seen",
-                "cell",
-                "carry",
-                (F.col("reached").isNull() | (F.col("cell") > F.col("reached"))).alias("rises"),
-            )
+            .withColumn("reached", F.greatest(F.max("cell").over(in_bucket), "carry"))
+            .where(F.col("reached").isNull() | (F.col("cell") > F.col("reached")))
+            .select("bucket", "seen", "cell")
+        )
+        carried = self.buckets.where(F.col("carry").isNotNull()).select(
+            "bucket", F.lit(None).cast(rising.schema["seen"].dataType).alias("seen"), F.col("carry").alias("cell")
         )
+        return materialize(rising.unionByName(carried), "arrival-steps")
 
-    def _marks_are_few(self) -> bool:
+    def _steps_are_few(self) -> bool:
         size = (
-            self.marks.groupBy("bucket")
-            .agg(F.count("*").alias("marks"))
-            .agg(F.sum("marks").alias("all"), F.max("marks").alias("widest"))
+            self.steps.groupBy("bucket")
+            .agg(F.count("*").alias("steps"))
+            .agg(F.sum("steps").alias("all"), F.max("steps").alias("widest"))
             .first()
         )
-        return (size["all"] or 0) <= self.limits.marks and (size["widest"] or 0) <= self.limits.marks_per_bucket
+        return (size["all"] or 0) <= self.limits.steps and (size["widest"] or 0) <= self.limits.steps_per_bucket
 
     def attach(self, rows: DataFrame, name: str = "running_max_ms") -> DataFrame:
         """Add the running maximum to ``rows``, any part of those it was built from.
 
         Null for a row before which nothing arrived.
         """
-        found = self._look_up_broadcast(rows) if self._marks_are_few() else self._look_up_sorted(rows)
+        found = self._look_up_broadcast(rows) if self._steps_are_few() else self._look_up_sorted(rows)
         return found.withColumn(name, F.col("__cell") * self.granularity_ms).drop("__cell")
 
     def _look_up_broadcast(self, rows: DataFrame) -> DataFrame:
-        """Rows stay where they are; each compares itself with the few marks of its bucket."""
-        lists = (
-            self._judged_marks()
-            .groupBy(F.col("bucket").alias("__bucket"))
-            .agg(
-                F.max("carry").alias("__carry"),
-                F.collect_list(F.when(F.col("rises"), F.struct("seen", "cell"))).alias("__marks"),
-            )
+        """Rows stay where they are; each compares itself with the few steps of its bucket."""
+        lists = self.steps.groupBy(F.col("bucket").alias("__bucket")).agg(
+            F.max(F.when(F.col("seen").isNull(), F.col("cell"))).alias("__carry"),
+            F.collect_list(F.when(F.col("seen").isNotNull(), F.struct("seen", "cell"))).alias("__steps"),
         )
         here = self._order()
-        passed = F.array_max(F.transform(F.filter("__marks", lambda m: m["seen"] < here), lambda m: m["cell"]))
+        passed = F.array_max(F.transform(F.filter("__steps", lambda s: s["seen"] < here), lambda s: s["cell"]))
         return (
             rows.withColumn("__bucket", self._bucket())
             .join(F.broadcast(lists), "__bucket", "left")
             .withColumn("__cell", F.greatest("__carry", passed))
-            .drop("__bucket", "__carry", "__marks")
+            .drop("__bucket", "__carry", "__steps")
         )
 
     def _look_up_sorted(self, rows: DataFrame) -> DataFrame:
-        """Rows and marks are merged in arrival order, per bucket and slice of it.
+        """Rows and steps are merged in arrival order, per bucket and slice of it.
 
-        A row needs the marks but no other row. So a bucket with many rows is cut into
-        slices of bounded size, each with its own copy of the bucket's marks.
+        A row needs the steps but no other row. So a bucket with many rows is cut into
+        slices of bounded size, each with its own copy of the bucket's steps.
         """
         columns = rows.columns
-        self.buckets = materialize(self.buckets, "arrival-buckets")
         # Busy buckets only: at most one entry per ``rows_per_task`` rows of the input.
         slices = F.broadcast(
-            self.buckets.where(F.col("rows") > self.limits.rows_per_task).select(
-                F.col("bucket").alias("__bucket"),
-                F.ceil(F.col("rows") / self.limits.rows_per_task).cast("bigint").alias("__slices"),
-            )
+            self.marks.groupBy(F.col("bucket").alias("__bucket"))
+            .agg(F.sum("n").alias("rows"))
+            .where(F.col("rows") > self.limits.rows_per_task)
+            .select("__bucket", F.ceil(F.col("rows") / self.limits.rows_per_task).cast("bigint").alias("__slices"))
         )
         numbered = (
             rows.withColumn("__bucket", self._bucket())
@@ -204,32 +201,27 @@ class RunningMax:
             .withColumn(
                 "__slice", F.coalesce(F.pmod(F.xxhash64(*self.arrival), F.col("__slices")), F.lit(0).cast("bigint"))
             )
-            .select(*columns, "__bucket", "__slice", "__order", F.lit(None).cast("bigint").alias("__mark"))
-        )
-        rising = self._judged_marks().where("rises").select("bucket", "seen", "cell")
-        # What earlier buckets reached enters as a mark before every real arrival: nulls sort first.
-        carried = self.buckets.where(F.col("carry").isNotNull()).select(
-            "bucket",
-            F.lit(None).cast(rising.schema["seen"].dataType).alias("seen"),
-            F.col("carry").alias("cell"),
+            .select(*columns, "__bucket", "__slice", "__order", F.lit(None).cast("bigint").alias("__step"))
         )
         copies = (
-            rising.unionByName(carried)
-            .select(F.col("bucket").alias("__bucket"), F.col("seen").alias("__order"), F.col("cell").alias("__mark"))
+            self.steps.select(
+                F.col("bucket").alias("__bucket"), F.col("seen").alias("__order"), F.col("cell").alias("__step")
+            )
             .join(slices, "__bucket", "left")
             .withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__slices", F.lit(1)) - 1)))
             .drop("__slices")
         )
-        # The row a mark was taken from has the same arrival and must not see it.
+        # What was carried in has a null arrival and comes first. The row a step was taken
+        # from has the same arrival and must not see it.
         in_order = (
             Window.partitionBy("__bucket", "__slice")
-            .orderBy(F.asc_nulls_first("__order"), F.asc_nulls_first("__mark"))
+            .orderBy(F.asc_nulls_first("__order"), F.asc_nulls_first("__step"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return (
             numbered.unionByName(copies, allowMissingColumns=True)
-            .withColumn("__cell", F.max("__mark").over(in_order))
-            .where(F.col("__mark").isNull())
+            .withColumn("__cell", F.max("__step").over(in_order))
+            .where(F.col("__step").isNull())
             .select(*columns, "__cell")
         )
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,9 +73,7 @@ def measure(rows: dict) -> dict:
     every = word_hashes(line_hashes["lines"]).view(np.int64)
     ends = np.cumsum([0, *out["lines"]])
     out["lines"] = [every[a:b] for a, b in zip(ends, ends[1:])]
-    texts = np.empty(len(rows["text"]), object)
-    texts[:] = [(t or "").encode("utf-8", "surrogatepass") for t in rows["text"]]
-    out["text_hash"] = pd.util.hash_array(texts, categorize=False).view(np.int64) if len(texts) else []
+    out["text_hash"] = rows["text_hash"]
     return out
 
 
@@ -108,7 +105,7 @@ def assess(
     A null text counts as empty and fails for its length; rows without a host form a host of
     their own; repeated rows are judged each, and count as one document of a line.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col(host).cast("string").alias("host"), "text")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col(host).cast("string").alias("host"), "text", F.xxhash64("text").alias("text_hash"))
     measured = materialize(
         map_batches(rows, measure, MEASURES).withColumn("uid", F.monotonically_increasing_id()), "measures"
     )
@@ -121,7 +118,7 @@ def assess(
         .groupBy("uid")
         .agg(F.sum("words").alias("removed_words"))
     )
-    judged = measured.drop("lines", "line_words", "text_hash", "host").join(removed, "uid", "left")
+    judged = measured.drop("lines", "line_words").join(removed, "uid", "left")
     left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.withColumn("base_failed", failed).select(
@@ -134,8 +131,26 @@ def assess(
         "base_failed",
         (~F.col("base_failed") & (left >= min_left * F.col("n_words"))).alias("kept"),
         F.coalesce("removed_words", F.lit(0)).cast("bigint").alias("removed_words"),
+        "host",
+        "text_hash",
+    )
+
+
+def keep(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns and their text as it is.
+
+    Rows with the same doc_id, host and text have the same verdict, so it is looked up by these.
+    """
+    judged = assess(docs, **limits).where(~F.col("kept"))
+    bad = materialize(judged.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("host").alias("h")).distinct(), "rejected")
+    return docs.join(
+        bad,
+        docs["doc_id"].cast("bigint").eqNullSafe(bad["d"])
+        & (F.xxhash64(docs["text"]) == bad["t"])
+        & docs[limits.get("host", "source")].cast("string").eqNullSafe(bad["h"]),
+        "left_anti",
     )
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assess(table(spark, sf_dir, "documents"))
+    return assess(table(spark, sf_dir, "documents")).drop("host", "text_hash")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from pathlib import Path
 
 import numpy as np
@@ -23,10 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application."""
+    """Send this package's code to the executors, once for each application.
+
+    The archive is made where the driver runs and executors fetch it there, as with ``--py-files``.
+    """
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
-        sc.addFile(str(PACKAGE), recursive=True)
+        folder = tempfile.mkdtemp(prefix="tidemark-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = Path(folder) / f"{PACKAGE.name}-code.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            for source in sorted(PACKAGE.rglob("*.py")):
+                archive.write(source, source.relative_to(PACKAGE.parent))
+        sc.addPyFile(str(path))
         _shipped.add(sc.applicationId)
 
 

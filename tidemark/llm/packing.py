@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -31,19 +32,40 @@ _unsafe = re.compile(r"\s ")
 _cut = re.compile(r"(?<=\S)(?= )")
 
 
+#: Fixed value: how the byte-level form cuts a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for the characters from 256 on, in order.
+    """
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
     """Token ids of whole texts, with the ids of pieces between spaces remembered.
 
     The byte-level pattern never lets a token run from a character that is no white space into
     a following space, so a text may be cut there and its pieces encoded one by one. A text
-    with a special token's string is encoded whole.
+    with a special token's string is encoded whole. Pieces met for the first time are encoded by
+    ``tiktoken`` over the vocabulary of the same file, where ids are in the order of merges: the same
+    ids as by ``tokenizers``, at a fifth of the time for short strings.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        byte_of = {c: b for b, c in byte_characters().items()}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in self.special}
+        self.fast = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.memo: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
@@ -61,9 +83,10 @@ class Encoder:
         except KeyError:
             if len(memo) > MEMO:
                 memo.clear()
-            new = list({p for p in pieces if p not in memo})
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                memo[p] = np.array(e.ids, "<u4").tobytes()
+            encode = self.fast.encode_ordinary
+            for p in pieces:
+                if p not in memo:
+                    memo[p] = array("I", encode(p)).tobytes()
             return b"".join([memo[p] for p in pieces])
 
 

@@ -75,10 +75,23 @@ def merge(group: pd.DataFrame) -> pd.DataFrame:
 class Repeated:
     """The merged sketch: which of these hashes were perhaps counted more than once?"""
 
-    def __init__(self, rows: list[np.ndarray], width: int):
-        self.rows, self.width = rows, width
+    def __init__(self, blocks: dict[tuple[int, int], bytes], width: int):
+        self.blocks, self.width, self.rows = blocks, width, None
+
+    def __getstate__(self):
+        """Travels compressed; a worker unpacks it once."""
+        return {"blocks": self.blocks, "width": self.width, "rows": None}
+
+    def unpack(self) -> None:
+        self.rows = [np.zeros(self.width // 8, np.uint8) for _ in range(DEPTH)]
+        for (row, block), payload in self.blocks.items():
+            bits = np.frombuffer(zlib.decompress(payload), np.uint8)
+            self.rows[row][block * BLOCK // 8 :][: len(bits)] = bits
+        self.blocks = {}
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        if self.rows is None:
+            self.unpack()
         found = np.ones(len(hashes), bool)
         for row, bits in enumerate(self.rows):
             cell = counters(hashes, row, self.width)
@@ -115,12 +128,8 @@ def repeated(docs: DataFrame, hashes: Callable[[str], np.ndarray], expected: int
 
     parts = docs.select("text").mapInArrow(sketch, "row int, block int, payload binary")
     merged = parts.groupBy("row", "block").applyInPandas(merge, "row int, block int, bits binary")
-    rows = [np.zeros(width // 8, np.uint8) for _ in range(DEPTH)]
-    for r in merged.toLocalIterator():
-        bits = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-        at = r["block"] * BLOCK // 8
-        rows[r["row"]][at : at + len(bits)] = bits
-    return spark.sparkContext.broadcast(Repeated(rows, width))
+    blocks = {(r["row"], r["block"]): bytes(r["bits"]) for r in merged.toLocalIterator()}
+    return spark.sparkContext.broadcast(Repeated(blocks, width))
 
 
 def expected_words(docs: DataFrame) -> int:

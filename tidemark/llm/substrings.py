@@ -7,7 +7,7 @@ takes for repeated, by 96 bits of their words' hashes, and finds the smallest do
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from functools import partial
 
 import numpy as np
@@ -22,7 +22,9 @@ WINDOW = 13
 #: Windows that a task compares with each other before it sends them on.
 BUFFER = 1_000_000
 
-OPEN = "low bigint, high int, doc_id bigint, tag int, at int, settled boolean"
+#: A run of ``windows`` consecutive windows of a document from ``at`` on: one to be grouped by its hash,
+#: or any number of which it is settled that they are removed.
+OPEN = "low bigint, high int, doc_id bigint, tag int, at int, windows int"
 
 
 def window_hashes(text: str | None, size: int) -> np.ndarray:
@@ -34,24 +36,35 @@ def settle(low, high, doc, tag, at) -> pa.RecordBatch:
 
     Of the documents of a task that share a window only the smallest can be the first one; for the others
     it is settled that the window is removed. So a window that is in very many documents is
-    sent on once for each task. Settled windows travel with their document as key.
+    sent on once for each task. Settled windows travel as runs, with their document as key.
     """
     order = np.lexsort((doc, high, low))
     low, high, doc, tag, at = (x[order] for x in (low, high, doc, tag, at))
     new = np.ones(len(low), bool)
     new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
     settled = doc != doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    low = np.where(settled, doc, low)
-    high = np.where(settled, 0, high)
-    order = np.lexsort((at, doc))  # alike values side by side take less room in a shuffle
+    # Settled windows become runs, in the order of documents and places.
+    order = np.lexsort((at[settled], tag[settled], doc[settled]))
+    d, t, a = (x[settled][order] for x in (doc, tag, at))
+    breaks = np.ones(len(d), bool)
+    breaks[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (a[1:] != a[:-1] + 1)
+    first = np.flatnonzero(breaks)
+    runs = np.diff(np.append(first, len(d))).astype(np.int32)
+    rest = np.lexsort((at[~settled], doc[~settled]))  # alike values side by side take less room in a shuffle
+    columns = [
+        np.concatenate([x[~settled][rest], y])
+        for x, y in (
+            (low, d[first]), (high, np.zeros(len(first), np.int32)), (doc, d[first]), (tag, t[first]), (at, a[first]),
+            (np.zeros(len(doc), np.int32), runs),
+        )
+    ]
     return pa.RecordBatch.from_arrays(
-        [pa.array(x[order]) for x in (low, high, doc, tag, at, settled)],
-        names=["low", "high", "doc_id", "tag", "at", "settled"],
+        [pa.array(x) for x in columns], names=["low", "high", "doc_id", "tag", "at", "windows"]
     )
 
 
 def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, tag, starts): where the windows start that are also in a smaller document."""
+    """(doc_id, tag, starts): runs (at, windows) of windows that are also in a smaller document."""
     seen = repeated(docs, partial(window_hashes, size=size), expected_words(docs))
 
     def second_pass(batches):
@@ -76,8 +89,9 @@ def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
 
     windows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "tag", "text").mapInArrow(second_pass, OPEN)
     first = F.min("doc_id").over(Window.partitionBy("low", "high"))
-    removed = windows.withColumn("first", first).where(F.col("settled") | (F.col("doc_id") > F.col("first")))
-    return removed.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("starts"))
+    removed = windows.withColumn("first", first).where((F.col("windows") > 0) | (F.col("doc_id") > F.col("first")))
+    run = F.struct("at", F.greatest("windows", F.lit(1)).alias("windows"))
+    return removed.groupBy("doc_id", "tag").agg(F.collect_list(run).alias("starts"))
 
 
 def deduplicate(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -91,16 +105,23 @@ def deduplicate(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         "tag", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).cast("int")
     )
     starts = repeated_windows(given, size)
-    joined = given.join(starts, ["doc_id", "tag"], "left").select("doc_id", "text", "starts")
+    # Texts are shuffled once, compressed.
+    packed = map_batches(
+        given.select("doc_id", "tag", "text"),
+        lambda rows: {**rows, "text": [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in rows["text"]]},
+        "doc_id bigint, tag int, text binary",
+    )
+    joined = packed.join(starts, ["doc_id", "tag"], "left").select("doc_id", "text", "starts")
 
     def cut(rows: dict) -> dict:
         out = {"doc_id": rows["doc_id"], "n_words": [], "n_removed": [], "kept": []}
         for text, at in zip(rows["text"], rows["starts"]):
-            words = words_of(text)
+            words = zlib.decompress(text).split() if text else []
             gone = np.zeros(len(words) + 1, np.int64)
             if at is not None:
-                np.add.at(gone, at, 1)
-                np.add.at(gone, np.array(at) + size, -1)
+                begin = np.array([r["at"] for r in at])
+                np.add.at(gone, begin, 1)
+                np.add.at(gone, begin + [r["windows"] + size - 1 for r in at], -1)
             kept = [w for w, n in zip(words, np.cumsum(gone)[:-1]) if not n]
             out["n_words"].append(len(words))
             out["n_removed"].append(len(words) - len(kept))

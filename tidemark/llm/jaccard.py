@@ -23,6 +23,8 @@ SIMILARITY = 90
 FRAGMENTS = 8
 #: Shingles in more sets than this come last in the global order.
 COMMON = 50
+#: Words of 64 bits in a set's bitmap.
+BITMAP = 8
 #: Sets of a shingle that are tested against all others in the first round; four times as many each round.
 PIVOTS = 16
 
@@ -36,8 +38,27 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(rolled(words + np.uint64(size), size))
 
 
+def bitmap(members: np.ndarray) -> np.ndarray:
+    """One bit for each member, by its hash; sets that differ in k bits differ in k members at least."""
+    bits = np.zeros(BITMAP * 64, np.uint8)
+    bits[(mixed(members) % np.uint64(BITMAP * 64)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def near(x: str, y: str, similarity: int) -> F.Column:
+    """Whether two sets can link by their sizes and bitmaps, in columns with the suffixes ``x``, ``y``.
+
+    Linked sets differ in at most (100 - similarity) / (100 + similarity) of the sum of their
+    sizes, so no link is lost. Sets of far more members than a bitmap has bits pass.
+    """
+    n, m = F.col("n" + x), F.col("n" + y)
+    differ = sum((F.bit_count(F.col(f"bits{x}.b{k}").bitwiseXOR(F.col(f"bits{y}.b{k}"))) for k in range(BITMAP)), F.lit(0))
+    sizes = 100 * F.least(n, m) >= similarity * F.greatest(n, m)
+    return sizes & ((100 + similarity) * differ <= (100 - similarity) * (n + m))
+
+
 def shingle_sets(docs: DataFrame, similarity: int) -> DataFrame:
-    """(doc_id, n, low, high, shingles): the set's size, its 128-bit digest, and its members.
+    """(doc_id, n, low, high, bitmap, shingles): the set's size, its 128-bit digest, and its members.
 
     Members are given only for sets that can have a link: the shingles that are in no other
     document must be few enough. A sketch over all documents tells those that are certainly in no other.
@@ -46,7 +67,7 @@ def shingle_sets(docs: DataFrame, similarity: int) -> DataFrame:
 
     def run(rows: dict) -> dict:
         filter_ = seen.value
-        out = {"doc_id": rows["doc_id"], "n": [], "low": [], "high": [], "shingles": []}
+        out = {"doc_id": rows["doc_id"], "n": [], "low": [], "high": [], "bitmap": [], "shingles": []}
         for text in rows["text"]:
             s = shingles(text)
             alone = len(s) - int(filter_(s).sum())
@@ -54,11 +75,13 @@ def shingle_sets(docs: DataFrame, similarity: int) -> DataFrame:
             out["n"].append(len(s))
             out["low"].append(int(mixed(s).sum(dtype=np.uint64).view(np.int64)) if linked else None)
             out["high"].append(int(mixed(~s).sum(dtype=np.uint64).view(np.int64)) if linked else None)
+            out["bitmap"].append(bitmap(s) if linked else None)
             out["shingles"].append(s.view(np.int64) if linked else None)
         return out
 
     columns = docs.select("doc_id", "text")
-    return map_batches(columns, run, "doc_id bigint, n bigint, low bigint, high bigint, shingles array<bigint>")
+    schema = "doc_id bigint, n bigint, low bigint, high bigint, bitmap array<bigint>, shingles array<bigint>"
+    return map_batches(columns, run, schema)
 
 
 def segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
@@ -67,6 +90,7 @@ def segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
     The order puts shingles that are in many sets last, by their number, and the others by hash.
     A set's prefix is so long that two linked sets share a member of their prefixes.
     """
+    bits = sets.select("doc_id", F.struct(*[F.col("bitmap")[k].alias(f"b{k}") for k in range(BITMAP)]).alias("bits"))
     members = sets.select("doc_id", "n", F.explode("shingles").alias("s"))
     common = materialize(
         members.groupBy("s").agg(F.count("*").alias("sets")).where(F.col("sets") > COMMON), "common-shingles"
@@ -89,7 +113,9 @@ def segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
     prefixes = ordered.select(
         "doc_id", "n", F.explode(F.slice("order", F.lit(1), F.least(length.cast("int"), F.size("order")))).alias("p")
     ).select("doc_id", "n", F.col("p.s").alias("s"))
-    return cut, prefixes
+    # Most prefix shingles are in one set only; the others get the set's bitmap.
+    shared = prefixes.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1").select("s")
+    return materialize(cut, "segments"), prefixes.join(shared, "s").join(bits, "doc_id")
 
 
 def links(pairs: DataFrame, cut: DataFrame, similarity: int) -> DataFrame:
@@ -138,33 +164,31 @@ def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFra
     First every set is tested against the smallest set of each of its prefix shingles. What
     stays in different components of a shingle is then tested: all sets outside the shingle's
     largest component serve as pivots against the sets of other components, few at first
-    and more in each round, as links found meanwhile make further tests unnecessary.
+    and more in each round, as links found meanwhile make further tests unnecessary. The joins
+    that make pairs compare the bitmaps, so pairs that cannot link leave no task.
     """
-    def near(p, q):
-        return (100 * F.least(p, q) >= similarity * F.greatest(p, q))
-
     prefixes = materialize(prefixes, "prefixes")
-    head = prefixes.groupBy("s").agg(F.min(F.struct("doc_id", "n")).alias("h"), F.count("*").alias("sets")).where("sets > 1")
+    head = prefixes.groupBy("s").agg(F.min(F.struct("doc_id", "n", "bits")).alias("h"))
+    head = head.select("s", F.col("h.doc_id").alias("a"), F.col("h.n").alias("nx"), F.col("h.bits").alias("bitsx"))
     pairs = (
         prefixes.join(head, "s")
-        .select(F.col("h.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("h.n").alias("na"), F.col("n").alias("nb"))
-        .where((F.col("a") != F.col("b")) & near(F.col("na"), F.col("nb")))
+        .where((F.col("a") != F.col("doc_id")) & near("", "x", similarity))
+        .select("a", F.col("doc_id").alias("b"), F.col("nx").alias("na"), F.col("n").alias("nb"))
         .distinct()
     )
     edges = materialize(links(pairs, cut, similarity), "links")
     found = materialize(components(edges), "components")
-    prefixes = materialize(prefixes.join(head.select("s"), "s"), "prefixes")
     pivots, done = PIVOTS, None
     while True:
         named = prefixes.join(found, prefixes["doc_id"] == found["node"], "left").select(
-            "s", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
+            "s", "doc_id", "n", "bits", F.coalesce("component", "doc_id").alias("c")
         )
         sizes = named.groupBy("s", "c").agg(F.count("*").alias("size"))
         largest = sizes.groupBy("s").agg(F.max(F.struct("size", "c")).alias("l"), F.count("*").alias("parts")).where("parts > 1")
         opened = materialize(
             named.join(largest.select("s", F.col("l.c").alias("largest")), "s"), "open-shingles"
         )
-        outside = opened.where("c <> largest").select("s", "doc_id", "n", "c")
+        outside = opened.where("c <> largest").select("s", "doc_id", "n", "bits", "c")
         if done is not None:
             outside = outside.join(done, ["s", "doc_id"], "left_anti")
         # The smallest few of each shingle; tasks send no more than that.
@@ -173,8 +197,13 @@ def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFra
         if chosen.isEmpty():
             return found
         pairs = (
-            opened.join(chosen.select("s", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx")), "s")
-            .where((F.col("c") != F.col("cx")) & near(F.col("n"), F.col("nx")))
+            opened.join(
+                chosen.select(
+                    "s", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bitsx"), F.col("c").alias("cx")
+                ),
+                "s",
+            )
+            .where((F.col("c") != F.col("cx")) & near("", "x", similarity))
             .select(
                 F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b"),
                 F.when(F.col("doc_id") < F.col("x"), F.col("n")).otherwise(F.col("nx")).alias("na"),
@@ -202,7 +231,7 @@ def join(docs: DataFrame, similarity: int = SIMILARITY, fragments: int = FRAGMEN
     able = sets.where(F.col("low").isNotNull() & F.col("doc_id").isNotNull())
     classes = materialize(able.groupBy("low", "high", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")), "classes")
     first = able.join(classes.select("low", "high", "n", F.col("first").alias("doc_id")), ["low", "high", "n", "doc_id"])
-    first = materialize(first.select("doc_id", "n", "shingles").dropDuplicates(["doc_id", "n"]), "representatives")
+    first = materialize(first.select("doc_id", "n", "bitmap", "shingles").dropDuplicates(["doc_id", "n"]), "representatives")
     found = linked_sets(*segments(first, fragments), similarity)
     member = able.join(classes.where("size > 1"), ["low", "high", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     named = member.join(found, member["b"] == found["node"], "left").select(

@@ -164,24 +164,36 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("postings, sources", [(300_000, 1000), (3, 2)])
-def test_divergence_of_odd_rows(spark, postings, sources):
-    """Nulls, repeated rows, languages without kept terms; runs of a few postings, narrow accumulators."""
+@pytest.mark.parametrize("limits", [{}, dict(posting_limit=3, sum_limit=2), dict(posting_limit=40, group_limit=0)])
+def test_divergence_of_odd_rows(spark, limits):
+    """Nulls, repeated rows, languages without kept terms; runs of a few postings, groups that are not broadcast."""
     rows = ODD + [(100 + k, " ".join(f"t{c}" for c in "abcdefgh"[: k % 9]), "en", f"s{k % 7}") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
     docs = docs.withColumns({c: F.lit("clash") for c in ("term", "p", "p0", "total", "n", "value")})
-    found = Counter(tuple(r) for r in divergence.divergence(docs.repartition(5), posting_limit=postings, source_limit=sources).collect())
+    found = Counter(tuple(r) for r in divergence.divergence(docs.repartition(5), **limits).collect())
     assert found == divergence_by_sql(rows)
 
 
 def test_runs_merge_in_order():
-    block = divergence.Postings()
-    for k in range(50):
-        block.add(f"t{chr(97 + k % 26)} common", "en", f"s{k % 3}")
-    entries = block.sorted_run()
-    assert [e[:2] for e in entries] == sorted(e[:2] for e in entries)
-    batch = divergence.spill(block, "0-0", 4).to_pylist()
-    assert sum(len(divergence.pickle.loads(zlib.decompress(r["entries"]))) for r in batch) == len(entries)
+    blocks = [divergence.Postings() for _ in range(3)]
+    for k in range(90):
+        blocks[k % 3].add(f"t{chr(97 + k % 26)} common", "en", f"s{k % 4}")
+    chunks = {}
+    for k, block in enumerate(blocks):
+        groups, entries = block.sorted_run()
+        assert [e[0] for e in entries] == sorted(e[0] for e in entries)
+        batch = divergence.spill(block, f"0-{k}", 1).to_pylist()
+        chunks[f"0-{k}"] = [r["entries"] for r in batch]
+    found = {term: (lang, dict(zip(sources, counts))) for lang, term, sources, counts in divergence.merged(chunks, 4)}
+    assert found["common"] == ("en", {"s0": 23, "s1": 23, "s2": 22, "s3": 22})
+    assert sum(sum(c.values()) for _, c in found.values()) == 90 + sum(n for n in Counter(k % 26 for k in range(90)).values() if n >= 4)
+
+
+def test_probabilities_of_large_counts(spark):
+    rows = [(0, 0, 0), (3, 10, 7), (10**11, 10**12, 10**9), (9_223_372_035, 10**13, 5), (9_223_372_036, 10**13, 5)]
+    made = spark.createDataFrame(rows, "c bigint, n bigint, v bigint").select("*", divergence.probability(F.col("c"), F.col("n"), F.col("v")).alias("p"))
+    for r in made.collect():
+        assert r["p"] == (1 + 10**9 * (r["c"] + 1) // (r["n"] + r["v"]) if r["v"] else 1)
 
 
 EDGES = [

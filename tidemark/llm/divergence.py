@@ -26,6 +26,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,9 +38,11 @@ MIN_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP = 200
 #: Postings that a task holds before it writes a run, and terms in one chunk of a run.
-POSTINGS, CHUNK = 300_000, 4_000
-#: Sources of a language that a task adds up corrections for at a time.
-SOURCES = 1_000
+POSTINGS, CHUNK = 500_000, 4_000
+#: Pairs of postings that a task looks at a time, and pairs of groups it adds up before it passes them on.
+PAIRS, SUMS = 1 << 20, 1 << 18
+#: Groups are broadcast up to so many (some 64 MB).
+GROUPS = 1 << 20
 #: Copies of a language's list of sources, so that a language is not one task's work.
 COPIES = 16
 
@@ -64,13 +67,22 @@ class Postings:
             counter.update(found)
             self.size += len(counter) - before
 
-    def sorted_run(self) -> list[tuple[bytes, str, int, list[tuple[str, int]]]]:
-        """(term, lang, documents, [(source, occurrences)]) by term and language."""
-        by_term: dict[tuple[bytes, str], list[tuple[str, int]]] = defaultdict(list)
-        for (lang, source), counter in self.occurrences.items():
+    def sorted_run(self) -> tuple[list[tuple[str, str | None]], list[tuple[bytes, list[int]]]]:
+        """Groups, and (term, [group, n, group, n, ...]) by term.
+
+        A group is the place of (language, source), where n counts occurrences, or of
+        (language, None), where it counts documents.
+        """
+        counters = [*self.occurrences.items(), *(((lang, None), c) for lang, c in self.documents.items())]
+        by_term: dict[bytes, list[int]] = {}
+        for place, (_, counter) in enumerate(counters):
             for term, n in counter.items():
-                by_term[term, lang].append((source, n))
-        return [(term, lang, self.documents[lang][term], by_term[term, lang]) for term, lang in sorted(by_term)]
+                known = by_term.get(term)
+                if known is None:
+                    by_term[term] = [place, n]
+                else:
+                    known += (place, n)
+        return [name for name, _ in counters], sorted(by_term.items())
 
 
 RUNS = pa.schema([("shard", pa.int32()), ("run", pa.string()), ("chunk", pa.int32()), ("entries", pa.binary())])
@@ -79,14 +91,16 @@ RUNS = pa.schema([("shard", pa.int32()), ("run", pa.string()), ("chunk", pa.int3
 def spill(postings: Postings, run: str, shards: int) -> pa.RecordBatch:
     """The run, by shard, in chunks that can be read one after the other."""
     by_shard: dict[int, list] = defaultdict(list)
-    for entry in postings.sorted_run():
+    groups, entries = postings.sorted_run()
+    for entry in entries:
         by_shard[zlib.crc32(entry[0]) % shards].append(entry)
     rows = [
-        (shard, run, k, zlib.compress(pickle.dumps(entries[k : k + CHUNK], pickle.HIGHEST_PROTOCOL), 1))
-        for shard, entries in by_shard.items()
-        for k in range(0, len(entries), CHUNK)
+        (shard, run, k, zlib.compress(pickle.dumps((groups, part[k : k + CHUNK]), pickle.HIGHEST_PROTOCOL), 1))
+        for shard, part in by_shard.items()
+        for k in range(0, len(part), CHUNK)
     ]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), RUNS)] if rows else [pa.array([], f.type) for f in RUNS], schema=RUNS)
+    columns = zip(*rows) if rows else [[] for _ in RUNS]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, RUNS)], schema=RUNS)
 
 
 def runs(docs: DataFrame, shards: int, limit: int = POSTINGS) -> DataFrame:
@@ -116,17 +130,19 @@ def merged(chunks: dict[str, list[bytes]], min_documents: int):
 
     def entries(parts: list[bytes]):
         for part in parts:
-            yield from pickle.loads(zlib.decompress(part))
+            groups, found = pickle.loads(zlib.decompress(part))
+            for term, counted in found:
+                yield term, groups, counted
 
-    by_term = heapq.merge(*map(entries, chunks.values()), key=itemgetter(0, 1))
-    for (term, lang), same in groupby(by_term, key=itemgetter(0, 1)):
-        documents, occurrences = 0, Counter()
-        for _, _, n, found in same:
-            documents += n
-            for source, times in found:
-                occurrences[source] += times
-        if documents >= min_documents:
-            yield lang, term.decode("utf-8", "surrogatepass"), list(occurrences), list(occurrences.values())
+    for term, same in groupby(heapq.merge(*map(entries, chunks.values()), key=itemgetter(0)), key=itemgetter(0)):
+        total: dict[tuple[str, str | None], int] = {}
+        for _, groups, counted in same:
+            for place, n in zip(counted[::2], counted[1::2]):
+                group = groups[place]
+                total[group] = total.get(group, 0) + n
+        for lang in [lang for (lang, source), n in total.items() if source is None and n >= min_documents]:
+            found = [(source, n) for (of, source), n in total.items() if of == lang and source is not None]
+            yield lang, term.decode("utf-8", "surrogatepass"), [s for s, _ in found], [n for _, n in found]
 
 
 def frequencies(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, limit: int = POSTINGS) -> DataFrame:
@@ -161,9 +177,11 @@ def frequencies(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, limit: int
 
 def probability(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(SCALE * (count + 1) / (total + kept)) without rounding; 1 for a language without terms."""
+    short = F.call_function("div", SCALE * (count + 1), total + kept)
     above = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
     share = F.call_function("div", above, (total + kept).cast("decimal(20,0)"))
-    return F.when(kept > 0, 1 + share).otherwise(F.lit(1)).cast("bigint")
+    fits = count < 2**63 // SCALE - 1
+    return F.when(kept <= 0, 1).when(fits, 1 + short).otherwise(1 + share).cast("bigint")
 
 
 def excess(p: Column, q: Column) -> Column:
@@ -171,78 +189,124 @@ def excess(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def pair_corrections(postings: DataFrame, limit: int = SOURCES) -> DataFrame:
+CORRECTIONS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+
+
+def corrections_of(lang, term, source, p, p0) -> Counter:
+    """Corrections of the pairs of postings of each term, added up by (lang, source, other source)."""
+
+    def f(x, y):
+        return (x - y) * (x - y) // y
+
+    same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    sizes = np.diff(np.append(first, len(p)))
+    begin, size = np.repeat(first, sizes), np.repeat(sizes, sizes)
+    langs, sources = lang.dictionary_encode(), source.dictionary_encode()
+    width = len(sources.dictionary)
+    group = langs.indices.to_numpy().astype(np.int64) * width + sources.indices.to_numpy()
+    groups, group = np.unique(group, return_inverse=True)
+    total: dict[int, int] = {}
+    ends = np.cumsum(size)
+    row = 0
+    while row < len(p):
+        done = ends[row - 1] if row else 0
+        until = max(row + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+        times = size[row:until]
+        a = np.repeat(np.arange(row, until), times)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(times) - times, times) + begin[a]
+        a, b = a[a != b], b[a != b]
+        value = f(p[a], p[b]) - f(p[a], p0[b]) - f(p0[a], p[b]) + f(p0[a], p0[b])
+        pairs, at = np.unique(group[a] * len(groups) + group[b], return_inverse=True)
+        sums = np.zeros(len(pairs), np.int64)
+        np.add.at(sums, at, value)
+        for pair, n in zip(pairs.tolist(), sums.tolist()):
+            total[pair] = total.get(pair, 0) + n
+        row = until
+    names = [(langs.dictionary[g // width].as_py(), sources.dictionary[g % width].as_py()) for g in groups.tolist()]
+    return Counter({(*names[pair // len(groups)], names[pair % len(groups)][1]): n for pair, n in total.items()})
+
+
+def pair_corrections(postings: DataFrame, limit: int = SUMS) -> DataFrame:
     """(lang, source, item, value) for terms that both have, added up within each task.
 
-    The term counts with f(p, q), and was counted with f(p, q0) and f(p0, q) in place of f(p0, q0),
-    where p0 and q0 are the probabilities of a term the source lacks.
+    Such a term counts with f(p, q), and was counted with f(p, q0) and f(p0, q) in place of f(p0, q0),
+    where p0 and q0 are the probabilities of a term the source lacks. The rows of
+    ``postings`` (lang, term, source, p, p0) with the same term must follow each other in one partition.
     """
     ship(postings.sparkSession)
-    by_term = postings.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "p0")).alias("found")).where(F.size("found") > 1)
-    rows = by_term.select("lang", "found.source", "found.p", "found.p0")
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
-    def f(p, q):
-        return (p - q) * (p - q) // q
+    def batch_of(sums: Counter) -> pa.RecordBatch:
+        columns = [*zip(*sums)] if sums else [[], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip([*columns, list(sums.values())], CORRECTIONS)], schema=CORRECTIONS)
 
     def run(batches):
-        places: dict[str, dict[str, int]] = defaultdict(dict)
-        sums: dict[str, np.ndarray] = {}
-
-        def flush(lang: str) -> pa.RecordBatch:
-            names, total = list(places.pop(lang)), sums.pop(lang)
-            a, b = np.nonzero(total[: len(names), : len(names)])
-            columns = [[lang] * len(a), [names[k] for k in a], [names[k] for k in b], total[a, b]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
-
+        sums, rest = Counter(), None
         for batch in batches:
-            for lang, sources, p, p0 in zip(*batch.columns):
-                lang, sources = lang.as_py(), sources.as_py()
-                if lang in sums and len(places[lang].keys() | set(sources)) > len(sums[lang]):
-                    yield flush(lang)
-                if lang not in sums:
-                    width = max(limit, len(sources))
-                    sums[lang] = np.zeros((width, width), np.int64)
-                place = places[lang]
-                at = np.array([place.setdefault(s, len(place)) for s in sources])
-                p, p0 = p.values.to_numpy()[:, None], p0.values.to_numpy()[:, None]
-                value = f(p, p.T) - f(p, p0.T) - f(p0, p.T) + f(p0, p0.T)
-                np.fill_diagonal(value, 0)
-                sums[lang][np.ix_(at, at)] += value
-        for lang in list(sums):
-            yield flush(lang)
-
+            batch = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([rest, batch]).combine_chunks() if rest is not None else batch
+            if not rows.num_rows:
+                continue
+            # The last term may go on in the next batch.
+            last = rows.num_rows - 1
+            other = pc.or_(pc.not_equal(rows["lang"], rows["lang"][last]), pc.not_equal(rows["term"], rows["term"][last]))
+            before = np.flatnonzero(other.to_numpy(zero_copy_only=False))
+            cut = int(before[-1]) + 1 if len(before) else 0
+            rest = rows.slice(cut)
+            if cut:
+                sums.update(corrections_of(*columns_of(rows.slice(0, cut))))
+            if len(sums) > limit:
+                yield batch_of(sums)
+                sums = Counter()
+        if rest is not None:
+            sums.update(corrections_of(*columns_of(rest)))
+        yield batch_of(sums)
+
+    def columns_of(rows: pa.Table):
+        text = [pa.concat_arrays(rows[c].chunks) for c in ("lang", "term", "source")]
+        return *text, *(rows[c].to_numpy() for c in ("p", "p0"))
+
+    rows = postings.select("lang", "term", "source", "p", "p0")
     parts = rows.mapInArrow(run, "lang string, source string, item string, value bigint")
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
 def divergence(
-    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP, posting_limit: int = POSTINGS, source_limit: int = SOURCES
+    docs: DataFrame,
+    min_documents: int = MIN_DOCUMENTS,
+    top: int = TOP,
+    posting_limit: int = POSTINGS,
+    sum_limit: int = SUMS,
+    group_limit: int = GROUPS,
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): each pair of sources, and the terms a source has more of."""
     given = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     kept = materialize(frequencies(given, min_documents, posting_limit), "frequencies")
+    zero = F.lit(0).cast("bigint")
+    in_lang = F.aggregate("counts", zero, lambda a, c: a + c)
     counted = kept.select(
-        "lang", "term", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c).alias("in_lang"),
-        F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))),
+        "lang", "term", in_lang.alias("in_lang"), F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n")))
     ).toDF("lang", "term", "in_lang", "source", "n")
-    langs = kept.groupBy("lang").agg(
-        F.count("*").alias("kept"), F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c)).alias("lang_total")
-    )
+    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum(in_lang).alias("lang_total"))
     groups = given.groupBy("lang", "source").agg(F.count("*").alias("rows")).drop("rows")
     totals = counted.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    zero = F.lit(0).cast("bigint")
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").select(
         "lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "kept", "lang_total")]
     )
     groups = materialize(groups.withColumn("p0", probability(zero, F.col("total"), F.col("kept"))), "groups")
 
-    postings = counted.join(groups, ["lang", "source"]).select(
-        "lang", "term", "source", "p0",
-        probability(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
-        probability(F.col("in_lang"), F.col("lang_total"), F.col("kept")).alias("q"),
+    # Groups are few, one for each source of a language; beyond the limit they are joined by a shuffle.
+    few = groups.count() <= group_limit
+    priced = counted.join(F.broadcast(groups) if few else groups, ["lang", "source"])
+    p_here = probability(F.col("n"), F.col("total"), F.col("kept")).alias("p")
+    postings = materialize(
+        priced.select("lang", "term", "source", "p0", p_here, probability(F.col("in_lang"), F.col("lang_total"), F.col("kept")).alias("q")),
+        "postings",
     )
-    postings = materialize(postings, "postings")
+    # A term is one row of ``kept``, so its postings follow each other unless they have been shuffled.
+    by_term = priced.select("lang", "term", "source", p_here, "p0")
+    if not few:
+        by_term = by_term.repartition("lang", "term").sortWithinPartitions("lang", "term")
 
     salted = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"), F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("salt"))
     alike = postings.groupBy("lang", "source", "p", "p0").agg(F.count("*").alias("terms")).withColumn(
@@ -265,7 +329,7 @@ def divergence(
     pairs = (
         as_if_empty.unionByName(one_sided.select("lang", "source", "item", F.col("here").alias("value")))
         .unionByName(one_sided.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), F.col("there").alias("value")))
-        .unionByName(pair_corrections(postings, source_limit))
+        .unionByName(pair_corrections(by_term, sum_limit))
         .groupBy("lang", "source", "item")
         .agg(F.sum("value").alias("value"))
     )

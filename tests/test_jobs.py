@@ -84,3 +84,33 @@ def test_every_job_runs_from_files(spark, logs, tmp_path, capsys):
     assert any("NO 1: URL = /b Page View = 2" in r.report for r in rows["hot-pages"])
     command.main(["page-views", str(behavior)])
     assert "pv" in capsys.readouterr().out
+
+
+def test_every_job_runs_as_a_stream(spark, logs, tmp_path, capsys):
+    """What is open at the end is included, and a second run goes on with the files that came since."""
+    folder = tmp_path / "behavior"
+    folder.mkdir()
+    (folder / "1.csv").write_text(f"1,7,1,pv,{START // 1000}\n2,7,1,pv,{START // 1000}\n1,8,1,buy,{START // 1000}\n")
+    marketing = str(tmp_path / "marketing")
+    spark.createDataFrame(
+        [(1, "CLICK", "weibo", START)], "user_id bigint, behavior string, channel string, timestamp bigint"
+    ).coalesce(1).write.parquet(marketing)
+    inputs = {"hot-pages": logs[0], "late-pages": logs[0], "channels": marketing}
+    assert command.STREAM_JOBS.keys() == command.JOBS.keys()
+
+    def run(job):
+        places = ["--out", str(tmp_path / f"stream-{job}"), "--checkpoint", str(tmp_path / f"checkpoint-{job}")]
+        command.main([job, inputs.get(job, str(folder)), *places])
+        return capsys.readouterr().out
+
+    shown = {job: run(job) for job in command.STREAM_JOBS}
+    hour = ms("2015-05-17T11:00:00")
+    assert f"|pv  |{hour}|2    |" in shown["page-views"] and f"|uv  |{hour}|2    |" in shown["unique-visitors"]
+    assert f"|{hour}|2       |" in shown["unique-visitors-bitmap"]
+    assert "2015-05-17 11:00:00" in shown["channels"] and "商品ID = 7 热门度 = 2" in shown["hot-items"]
+    assert "/late" in shown["late-pages"] and "NO 1: URL = /b Page View = 2" in shown["hot-pages"]
+    (folder / "2.csv").write_text(f"3,7,1,pv,{START // 1000}\n4,7,1,pv,{START // 1000 + 3600}\n")
+    again = run("page-views")
+    assert f"|pv  |{hour}|3    |" in again and f"|pv  |{hour + 3_600_000}|1    |" in again
+    with pytest.raises(SystemExit):
+        command.main(["page-views", str(folder), "--checkpoint", "x"])

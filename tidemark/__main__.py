@@ -1,4 +1,9 @@
-"""Run a job over files: ``spark-submit`` or ``python -m tidemark JOB INPUT [--out FOLDER]``."""
+"""Run a job over files: ``spark-submit`` or ``python -m tidemark JOB INPUT [--out FOLDER]``.
+
+With ``--checkpoint`` the input is a folder that is read as a stream, and ``--out`` the folder of
+the job's tables. The stream takes what is there and ends, results for open windows included;
+the next run goes on where it stopped. With ``--follow`` it waits for files until it is stopped.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators import counts, distinct
 from tidemark.operators.lateness import LatePages
 from tidemark.operators.topn import ITEM_LABELS, PAGE_LABELS, ranking_report, top_n
-from tidemark.session import configure, work_dir
-from tidemark.sources.access_log import land_access_log
-from tidemark.sources.behavior import read_behavior
+from tidemark.session import configure, streaming_session, work_dir
+from tidemark.sources.access_log import land_access_log, stream_access_log
+from tidemark.sources.behavior import read_behavior, stream_behavior
 from tidemark.sources.lines import ARRIVAL
-from tidemark.sources.marketing import read_marketing
+from tidemark.sources.marketing import read_marketing, stream_marketing
+from tidemark.streaming import jobs
 
 
 def hot_items(spark: SparkSession, path: str) -> DataFrame:
@@ -55,13 +61,71 @@ JOBS = {
 }
 
 
+def _by_window(make, source):
+    """A job whose windows close one after the other."""
+
+    def run(spark: SparkSession, path: str, out: str, checkpoint: str, follow: bool) -> DataFrame:
+        results = make(spark, source(streaming_session(spark), path), out, checkpoint)
+        results.start(once=not follow).awaitTermination()
+        results.finish()
+        return results.read()
+
+    return run
+
+
+def _item_reports(spark: SparkSession, behavior: DataFrame, out: str, checkpoint: str) -> jobs.WindowResults:
+    return jobs.item_reports(spark, behavior, out, checkpoint, ITEM_LABELS)
+
+
+def _page_firings(spark: SparkSession, path: str, out: str, checkpoint: str, follow: bool) -> jobs.PageFirings:
+    pages = jobs.PageFirings(spark, out)
+    log = stream_access_log(streaming_session(spark), path, arrival=True)
+    pages.start(log, checkpoint, once=not follow).awaitTermination()
+    pages.finish()
+    return pages
+
+
+def _page_reports(spark: SparkSession, path: str, out: str, checkpoint: str, follow: bool) -> DataFrame:
+    return _page_firings(spark, path, out, checkpoint, follow).reports(PAGE_LABELS)
+
+
+def _late_requests(spark: SparkSession, path: str, out: str, checkpoint: str, follow: bool) -> DataFrame:
+    return _page_firings(spark, path, out, checkpoint, follow).late.read().drop("arrival", "batch_id")
+
+
+def _running_visitors(spark: SparkSession, path: str, out: str, checkpoint: str, follow: bool) -> DataFrame:
+    visitors = jobs.RunningVisitors(spark, out)
+    visitors.start(stream_behavior(streaming_session(spark), path), checkpoint, once=not follow).awaitTermination()
+    return visitors.current()
+
+
+STREAM_JOBS = {
+    "hot-items": _by_window(_item_reports, stream_behavior),
+    "hot-pages": _page_reports,
+    "late-pages": _late_requests,
+    "page-views": _by_window(jobs.page_view_results, stream_behavior),
+    "unique-visitors": _by_window(jobs.unique_visitor_results, stream_behavior),
+    "unique-visitors-bitmap": _running_visitors,
+    "channels": _by_window(jobs.channel_results, stream_marketing),
+}
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__)
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("input", help="file, folder or pattern")
-    parser.add_argument("--out", help="folder for a Parquet result; printed if left out")
+    parser.add_argument("--out", help="folder for a Parquet result, printed if left out; of a stream's tables")
+    parser.add_argument("--checkpoint", help="read the input as a stream that keeps its place in this folder")
+    parser.add_argument("--follow", action="store_true", help="wait for more input")
     chosen = parser.parse_args(arguments)
+    if chosen.checkpoint and not chosen.out:
+        parser.error("a stream needs --out for its tables")
+    if chosen.follow and not chosen.checkpoint:
+        parser.error("--follow needs --checkpoint")
     spark = configure(SparkSession.builder.appName(f"tidemark {chosen.job}").getOrCreate())
+    if chosen.checkpoint:
+        STREAM_JOBS[chosen.job](spark, chosen.input, chosen.out, chosen.checkpoint, chosen.follow).show(truncate=False)
+        return
     result = JOBS[chosen.job](spark, chosen.input)
     if chosen.out:
         result.write.parquet(chosen.out)

@@ -54,8 +54,12 @@ def page_views(behavior: DataFrame, size_ms: int = HOUR_MS) -> DataFrame:
 def channel_behavior_counts(marketing: DataFrame, spec: Sliding = Sliding(HOUR_MS, HOUR_MS)) -> DataFrame:
     """Events per (channel, behaviour, window) without uninstalls; ``window_end`` is text."""
     kept = keep(marketing, is_not_uninstall(F.col("behavior")))
-    counted = _counts(kept, ["channel", "behavior"], spec, name="count")
-    return counted.select(
+    return channel_window_text(_counts(kept, ["channel", "behavior"], spec, name="count"))
+
+
+def channel_window_text(counts: DataFrame) -> DataFrame:
+    """Counts per (channel, behaviour) with the window end as text."""
+    return counts.select(
         "channel",
         "behavior",
         F.date_format(F.timestamp_millis("window_end"), "yyyy-MM-dd HH:mm:ss").alias("window_end"),

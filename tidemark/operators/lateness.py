@@ -5,7 +5,7 @@ A row's lateness depends on the newest event time among the rows that arrived be
 row counts in the window's first result if ``M < E + disorder``, in its revised result if
 ``M < E + disorder + lateness``, and is late if it is too late for the last of its windows.
 
-``M`` is a running maximum over the whole input in arrival order, but no row is ever sorted
+``M`` is a running maximum over the whole input in arrival order, but the rows are not sorted
 for it. ``RunningMax.marks`` reduces the input to when each stretch of event time first showed
 up in each stretch of arrival time. That table's size follows the time covered, not the
 rows, and it holds all there is to know about ``M`` up to a chosen granularity. Rows then
@@ -16,17 +16,19 @@ slide is exact for counting.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tidemark.functions.integers import floor_div
 from tidemark.functions.timing import MINUTE_MS, SECOND_MS, epoch_ms
 from tidemark.operators.counts import HOT_PAGE_WINDOWS, page_requests_only
 from tidemark.operators.topn import top_n
-from tidemark.operators.windows import Sliding, pane_of, span_counts
+from tidemark.operators.windows import Sliding, pane_of, span_counts, span_measures
 from tidemark.session import materialize
 
 # Arrival time per bucket. Narrower means fewer steps to compare per row, wider fewer buckets.
@@ -89,7 +91,18 @@ class RunningMax:
         return floor_div(F.col(self.arrival[0]), self.bucket_ms)
 
     def _order(self) -> Column:
-        return F.struct(*[F.col(c) for c in self.arrival]) if len(self.arrival) > 1 else F.col(self.arrival[0])
+        """The arrival columns as one value in the same order.
+
+        Two LONGs are packed into one number. A minimum of numbers is kept in a hash table,
+        that of a struct takes a sort of all rows.
+        """
+        columns = [F.col(c) for c in self.arrival]
+        if len(columns) == 1:
+            return columns[0]
+        if len(columns) > 2 or any(self.rows.schema[c].dataType != LongType() for c in self.arrival):
+            return F.struct(*columns)
+        upper, lower = (c.cast("decimal(20,0)") for c in columns)
+        return (upper * F.lit(Decimal(2**64)) + (lower + F.lit(Decimal(2**63)))).cast("decimal(38,0)")
 
     @cached_property
     def marks(self) -> DataFrame:
@@ -231,8 +244,9 @@ class RunningMax:
         The rounded value names the stretch of event time the exact one lies in. That holds at
         most ``granularity_ms`` different values, and of those only the ones that arrived before
         every larger one, so each list is short however many rows are behind it. A stretch that
-        many rows ask for is left to Spark's skew join, which copies the list.
+        many rows ask for is cut into slices of bounded size, each with its own copy of the list.
         """
+        rows = materialize(rows.withColumn("__cell", floor_div(F.col(name), self.granularity_ms)), "late-rows")
         value = epoch_ms(F.col(self.ts))
         larger = Window.partitionBy("__cell").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
         lists = (
@@ -245,18 +259,34 @@ class RunningMax:
             .groupBy("__cell")
             .agg(F.collect_list(F.struct("seen", "at")).alias("__marks"))
         )
+        # Busy stretches only: at most one entry per ``rows_per_task`` of the rows.
+        slices = F.broadcast(
+            rows.groupBy("__cell")
+            .agg(F.count("*").alias("n"))
+            .where(F.col("n") > self.limits.rows_per_task)
+            .select("__cell", F.ceil(F.col("n") / self.limits.rows_per_task).cast("bigint").alias("__slices"))
+        )
+        zero = F.lit(0).cast("bigint")
+        copies = lists.join(slices, "__cell", "left").withColumn(
+            "__slice", F.explode(F.sequence(zero, F.coalesce("__slices", F.lit(1)) - 1))
+        )
         here = self._order()
         passed = F.filter("__marks", lambda m: m["seen"] < here)
         return (
-            rows.withColumn("__cell", floor_div(F.col(name), self.granularity_ms))
-            .join(lists, "__cell", "left")
+            rows.join(slices, "__cell", "left")
+            .withColumn("__slice", F.coalesce(F.pmod(F.xxhash64(*self.arrival), F.col("__slices")), zero))
+            .drop("__slices")
+            .join(copies.drop("__slices"), ["__cell", "__slice"], "left")
             .withColumn(name, F.array_max(F.transform(passed, lambda m: m["at"])))
-            .drop("__cell", "__marks")
+            .drop("__cell", "__slice", "__marks")
         )
 
 
 class LatePages:
-    """Page counts over disordered access-log rows, with first and final results and late rows."""
+    """Page counts over disordered access-log rows, with first and final results and late rows.
+
+    ``before_ms`` is the newest event time among rows that came before all of ``log``, if any did.
+    """
 
     def __init__(
         self,
@@ -265,12 +295,14 @@ class LatePages:
         spec: Sliding = HOT_PAGE_WINDOWS,
         lateness: Lateness = Lateness(),
         limits: LookupLimits = LookupLimits(),
+        before_ms: int | None = None,
     ) -> None:
         self.log = log
         self.arrival = arrival
         self.spec = spec
         self.lateness = lateness
         self.limits = limits
+        self.before_ms = before_ms
 
     @property
     def granularity_ms(self) -> int:
@@ -284,7 +316,11 @@ class LatePages:
     @cached_property
     def requests(self) -> DataFrame:
         """Page requests with ``running_max_ms`` to the granularity above."""
-        return self.clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
+        attached = self.clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
+        if self.before_ms is None:
+            return attached
+        rounded = self.before_ms // self.granularity_ms * self.granularity_ms
+        return attached.withColumn("running_max_ms", F.greatest("running_max_ms", F.lit(rounded).cast("bigint")))
 
     def _first_open(self, pane: Column, grace_ms: int) -> Column:
         """Index of the first of a row's windows that still takes it, with ``grace_ms`` to wait after its end.
@@ -311,6 +347,22 @@ class LatePages:
         )
         return span_counts(spans, ["url"], self.spec)
 
+    def firings(self) -> DataFrame:
+        """Per (URL, window) the requests of the first result and of the revised one, in one pass."""
+        pane = pane_of("ts", self.spec)
+        spans = (
+            self.requests.select(
+                "url",
+                self._first_open(pane, self.lateness.disorder_ms).alias("lo_first"),
+                self._first_open(pane, self.lateness.closing_ms).alias("lo"),
+                self.spec.last_start(pane).alias("hi"),
+            )
+            .where("lo <= hi")
+            .groupBy("url", "lo_first", "lo", "hi")
+            .agg(F.count("*").alias("n"))
+        )
+        return span_measures(spans, ["url"], self.spec, {"first_count": "lo_first", "view_count": "lo"})
+
     def first_counts(self) -> DataFrame:
         """Requests per (URL, window) known when the window first fires."""
         return self._counts(self.lateness.disorder_ms)
@@ -333,4 +385,7 @@ class LatePages:
         late = self.requests.where(
             (self.spec.first_start(pane) <= last) & (self._first_open(pane, self.lateness.closing_ms) > last)
         )
-        return self.clock.sharpen(late)
+        exact = self.clock.sharpen(late)
+        if self.before_ms is None:
+            return exact
+        return exact.withColumn("running_max_ms", F.greatest("running_max_ms", F.lit(self.before_ms).cast("bigint")))

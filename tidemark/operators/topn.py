@@ -49,9 +49,18 @@ PAGE_LABELS = (": URL = ", " Page View = ")
 
 
 def ranking_report(
-    ranking: DataFrame, key: str, labels: tuple[str, str], count: str = "view_count", window: str = "window_end"
+    ranking: DataFrame,
+    key: str,
+    labels: tuple[str, str],
+    count: str = "view_count",
+    window: str = "window_end",
+    keys: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """One text per window of a ``top_n`` result, whose size ``n`` bounds each list."""
+    """One text per window of a ``top_n`` result, whose size ``n`` bounds each list.
+
+    ``keys``, the window among them, tells rankings of one window apart.
+    """
+    keys = keys or (window,)
     key_label, count_label = labels
     line = F.concat(
         F.lit(RANK_LABEL),
@@ -62,9 +71,9 @@ def ranking_report(
         F.col(count).cast("string"),
         F.lit("\n"),
     )
-    listed = ranking.groupBy(window).agg(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))).alias("lines"))
+    listed = ranking.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))).alias("lines"))
     return listed.select(
-        window,
+        *keys,
         F.concat(
             F.lit(OPENING_RULER),
             F.lit(END_LABEL),

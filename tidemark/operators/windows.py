@@ -7,6 +7,7 @@ milliseconds, and absent when empty.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,24 +112,36 @@ def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "v
     The running sum is cut into buckets of window starts, and a span that reaches into the
     next bucket restarts there. So no group grows with a key's history.
     """
+    return span_measures(spans, keys, spec, {name: "lo"})
+
+
+def span_measures(spans: DataFrame, keys: list[str], spec: Sliding, measures: dict[str, str]) -> DataFrame:
+    """Several such sums in one pass, each named and given the column its spans begin in.
+
+    All spans of a row end in ``hi``. A window is in the result if any of its sums is above zero.
+    """
     width = spec.bucket
-    lo, hi, n = F.col("lo"), F.col("hi"), F.col("n")
-    first, last = floor_div(lo, width), floor_div(hi, width)
+    hi, n, zero = F.col("hi"), F.col("n"), F.lit(0).cast("bigint")
+    last = floor_div(hi, width)
+    names = list(measures)
+
+    def step(bucket: Column, at: Column, **parts: Column) -> Column:
+        return F.struct(bucket.alias("bucket"), at.alias("at"), *[parts.get(m, zero).alias(m) for m in names])
+
+    def counts_in(measure: str) -> Column:
+        return F.col(measures[measure]) <= hi
+
+    made = []
+    for measure, start in measures.items():
+        lo = F.col(start)
+        first = floor_div(lo, width)
+        made.append(step(F.when(lo <= hi, first), lo, **{measure: n}))
+        made.append(step(F.when(last > first, last), last * width, **{measure: n}))
+    any_counts = reduce(Column.__or__, [counts_in(m) for m in names])
+    ends = {m: F.when(counts_in(m), -n).otherwise(zero) if len(names) > 1 else -n for m in names}
+    made.append(step(F.when(any_counts & (floor_div(hi + 1, width) == last), last), hi + 1, **ends))
     steps = (
-        spans.select(
-            *keys,
-            F.inline(
-                F.array(
-                    F.struct(F.when(lo <= hi, first).alias("bucket"), lo.alias("at"), n.alias("step")),
-                    F.struct(F.when(last > first, last).alias("bucket"), (last * width).alias("at"), n.alias("step")),
-                    F.struct(
-                        F.when((lo <= hi) & (floor_div(hi + 1, width) == last), last).alias("bucket"),
-                        (hi + 1).alias("at"),
-                        (-n).alias("step"),
-                    ),
-                )
-            ),
-        )
+        spans.select(*keys, F.inline(F.array(*made)))
         .where(F.col("bucket").isNotNull())
         # Each row grows to as many as size / slide windows after this exchange, which the
         # bytes in it do not show: with the number given, AQE does not merge its partitions.
@@ -136,16 +149,17 @@ def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "v
     )
     # A row is at most size / slide windows long, shorter than a bucket: two buckets suffice.
     in_order = Window.partitionBy(*keys, "bucket").orderBy("at")
+    running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     levels = steps.select(
         *keys,
         "at",
-        F.sum("step").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(name),
+        *[F.sum(m).over(running).alias(m) for m in names],
         F.coalesce(F.lead("at").over(in_order), (F.col("bucket") + 1) * width).alias("until"),
-    ).where((F.col(name) > 0) & (F.col("until") > F.col("at")))
+    ).where(reduce(Column.__or__, [F.col(m) > 0 for m in names]) & (F.col("until") > F.col("at")))
     # The outer form only keeps Catalyst from adding a second evaluation of the sequence
     # as a filter; the condition above already rules out empty ones.
     return levels.select(
         *keys,
         F.explode_outer(F.sequence("at", F.col("until") - 1)).alias("start"),
-        name,
-    ).select(*keys, spec.end_ms(F.col("start")).alias("window_end"), name)
+        *names,
+    ).select(*keys, spec.end_ms(F.col("start")).alias("window_end"), *names)

@@ -84,6 +84,12 @@ SELECT {HOUR_END} AS window_end, count(DISTINCT {_slot(bits)}) AS uv_count
 FROM behavior WHERE behavior = 'pv' GROUP BY 1"""
 
 
+def _long_windows(who: str) -> str:
+    """Visits of pages, once for each window of six hours that they lie in."""
+    return f"""WITH {BEHAVIOR},
+placed AS (SELECT {who} AS who, {_ends(21600000, 3600000)} AS window_end FROM behavior WHERE behavior = 'pv')"""
+
+
 SECONDS = "epoch_us(ts) // 1000000"
 
 DAMAGED = f"""WITH raw AS (
@@ -139,6 +145,14 @@ SELECT 'pv' AS name, {HOUR_END} AS window_end, count(*) AS count FROM behavior W
 SELECT 'uv' AS name, {HOUR_END} AS window_end, count(DISTINCT user_id) AS count FROM behavior WHERE behavior = 'pv' GROUP BY 2""",
     "uv_hourly_bitmap": _bitmap(29),
     "uv_hourly_bitmap_128": _bitmap(7),
+    "uv_hourly_bitmap_merged": _bitmap(29),
+    "uv_sliding_bitmap": f"""{_long_windows(_slot(16))}
+SELECT CAST(window_end AS BIGINT) AS window_end, count(DISTINCT who) AS uv_count FROM placed GROUP BY 1""",
+    "uv_hourly_sketch": f"""WITH {BEHAVIOR}
+SELECT {HOUR_END} AS window_end, count(DISTINCT user_id) AS visitors, true AS within_bound
+FROM behavior WHERE behavior = 'pv' GROUP BY 1""",
+    "uv_sliding_sketch": f"""{_long_windows("user_id")}
+SELECT CAST(window_end AS BIGINT) AS window_end, count(DISTINCT who) AS visitors, true AS within_bound FROM placed GROUP BY 1""",
     "channel_behavior_counts": CHANNEL_COUNTS,
     "late_page_events": f"""{ARRIVALS}
 SELECT event_id, ms AS event_ms, running_max_ms FROM clocked
@@ -159,16 +173,30 @@ SELECT ip, user_id, CAST((ms // 1000) * 1000 AS BIGINT) AS event_ms, method, url
     "hot_pages_report": _report(PAGE_COUNTS, "url", 3, ": URL = ", " Page View = "),
 }
 
-# A stream in append mode has emitted the windows that its watermark, the newest event, has passed.
-NEWEST = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
-
+# Streams run to the end of their input, and readers of files, have the results of the batch queries.
 STREAMS: dict[str, str] = {
-    "pv_hourly_stream": f"SELECT * FROM ({BATCH['pv_hourly']}) WHERE window_end <= {NEWEST}",
-    "uv_hourly_stream": f"SELECT * FROM ({BATCH['uv_hourly']}) WHERE window_end <= {NEWEST}",
-    "channel_behavior_counts_stream": f"""SELECT * FROM ({CHANNEL_COUNTS})
-WHERE epoch_us(CAST(window_end AS TIMESTAMP)) // 1000 <= {NEWEST}""",
-    "hot_items_top5_stream": f"SELECT * FROM ({BATCH['hot_items_top5']}) WHERE window_end <= {NEWEST}",
-    "uv_hourly_bitmap_stream": BATCH["uv_hourly_bitmap"],
-    "page_view_counts_stream": BATCH["page_view_counts"],
-    "hot_pages_top3_stream": BATCH["hot_pages_top3"],
+    stream: BATCH[batch]
+    for stream, batch in {
+        "pv_hourly_stream": "pv_hourly",
+        "uv_hourly_stream": "uv_hourly",
+        "channel_behavior_counts_stream": "channel_behavior_counts",
+        "hot_items_top5_stream": "hot_items_top5",
+        "hot_items_report_stream": "hot_items_report",
+        "uv_hourly_bitmap_stream": "uv_hourly_bitmap",
+        "page_view_counts_stream": "page_view_counts",
+        "hot_pages_top3_stream": "hot_pages_top3",
+        "late_page_events_stream": "late_page_events",
+        "page_counts_first_fire_stream": "page_counts_first_fire",
+        "page_counts_final_stream": "page_counts_final",
+        "hot_pages_first_fire_top3_stream": "hot_pages_first_fire_top3",
+        "hot_pages_final_top3_stream": "hot_pages_final_top3",
+        "hot_items_from_files": "hot_items_top5",
+        "hot_items_from_files_stream": "hot_items_top5",
+        "uv_hourly_from_files": "uv_hourly",
+        "hot_pages_report_from_files": "hot_pages_report",
+        "page_counts_from_files_stream": "page_view_counts",
+        "channel_counts_from_files": "channel_behavior_counts",
+        "channel_counts_from_files_stream": "channel_behavior_counts",
+    }.items()
 }
+STREAMS["hot_pages_first_report_stream"] = _report(_late_counts(5000), "url", 3, ": URL = ", " Page View = ")

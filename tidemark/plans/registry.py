@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import is_page_url
+from tidemark.functions.timing import HOUR_MS
 from tidemark.operators import counts, distinct
 from tidemark.operators.lateness import LatePages
 from tidemark.operators.topn import ITEM_LABELS, PAGE_LABELS, ranking_report, top_n
+from tidemark.operators.windows import Sliding
 from tidemark.plans import views
 from tidemark.sources import access_log, behavior
 
@@ -62,6 +64,47 @@ def uv_hourly_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.unique_visitors_approx(views.behavior_events(spark, sf_dir))
 
 
+#: Panes of a quarter of an hour make an hour; hours make windows of six hours.
+QUARTERS = Sliding(HOUR_MS, HOUR_MS // 4)
+LONG_WINDOWS = Sliding(6 * HOUR_MS, HOUR_MS)
+SMALL_BITMAP = 16
+
+
+def uv_hourly_bitmap_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of quarters of an hour, merged into hours that follow each other."""
+    bitmaps = distinct.visitor_bitmaps(views.behavior_events(spark, sf_dir), QUARTERS)
+    merged = distinct.unique_visitors_of_bitmaps(bitmaps, QUARTERS)
+    return merged.where(F.col("window_end") % HOUR_MS == 0)
+
+
+def uv_sliding_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six hours, every hour, from bitmaps of an hour each."""
+    bitmaps = distinct.visitor_bitmaps(views.behavior_events(spark, sf_dir), LONG_WINDOWS, SMALL_BITMAP)
+    return distinct.unique_visitors_of_bitmaps(bitmaps, LONG_WINDOWS)
+
+
+def _within_bound(estimates: DataFrame, exact: DataFrame) -> DataFrame:
+    """The exact count of each window, and whether the estimate is as near as the sketch promises."""
+    error = F.greatest(F.lit(1.0), distinct.sketch_error() * F.col("visitors"))
+    return exact.join(estimates, "window_end", "left").select(
+        "window_end", "visitors", F.coalesce(F.abs(F.col("uv_count") - F.col("visitors")) <= error, F.lit(False)).alias("within_bound")
+    )
+
+
+def uv_hourly_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    behavior = views.behavior_events(spark, sf_dir)
+    hours = Sliding(HOUR_MS, HOUR_MS)
+    estimates = distinct.unique_visitors_of_sketches(distinct.visitor_sketches(behavior, hours), hours)
+    return _within_bound(estimates, distinct.unique_visitors(behavior).withColumnRenamed("count", "visitors"))
+
+
+def uv_sliding_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six hours, every hour, from sketches of an hour each, against the distinct users of each window."""
+    behavior = views.behavior_events(spark, sf_dir)
+    estimates = distinct.unique_visitors_of_sketches(distinct.visitor_sketches(behavior, LONG_WINDOWS), LONG_WINDOWS)
+    return _within_bound(estimates, distinct.unique_visitors_sliding(behavior, LONG_WINDOWS).withColumnRenamed("count", "visitors"))
+
+
 def channel_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.channel_behavior_counts(views.marketing_events(spark, sf_dir))
 
@@ -128,6 +171,10 @@ BATCH: dict[str, Query] = {
         uv_hourly_bitmap,
         uv_hourly_bitmap_128,
         uv_hourly_approx,
+        uv_hourly_bitmap_merged,
+        uv_sliding_bitmap,
+        uv_hourly_sketch,
+        uv_sliding_sketch,
         channel_behavior_counts,
         late_page_events,
         page_counts_first_fire,

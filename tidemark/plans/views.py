@@ -37,13 +37,12 @@ def event_columns(events: DataFrame) -> DataFrame:
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_columns(configure(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return configure(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = configure(spark).readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-    return event_columns(folder.parquet(sf_dir))
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_columns(raw_events(spark, sf_dir))
 
 
 def as_behavior(e: DataFrame) -> DataFrame:
@@ -100,9 +99,10 @@ def marketing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_marketing(events(spark, sf_dir))
 
 
-def behavior_lines(b: DataFrame) -> DataFrame:
-    """Behaviour records written out as text lines."""
+def behavior_lines(b: DataFrame, *others: str) -> DataFrame:
+    """Behaviour records written out as text lines, with columns to keep beside them."""
     return b.select(
+        *others,
         F.concat_ws(
             ",",
             F.col("user_id").cast("string"),
@@ -114,14 +114,19 @@ def behavior_lines(b: DataFrame) -> DataFrame:
     )
 
 
-def access_log_lines(log: DataFrame) -> DataFrame:
-    """Access-log records written out as text lines."""
+def access_log_lines(log: DataFrame, *others: str) -> DataFrame:
+    """Access-log records written out as text lines, likewise."""
     time = F.date_format("ts", "dd/MM/yyyy:HH:mm:ss")
     return log.select(
-        F.concat_ws(" ", "ip", "user_id", F.lit("-"), time, F.lit("+0000"), "method", "url").alias("value")
+        *others, F.concat_ws(" ", "ip", "user_id", F.lit("-"), time, F.lit("+0000"), "method", "url").alias("value")
     )
 
 
+def marketing_records(m: DataFrame) -> DataFrame:
+    """Marketing events as they are stored, with their time in epoch milliseconds."""
+    return m.select("user_id", "behavior", "channel", F.unix_millis("ts").alias("timestamp"))
+
+
 def damaged_lines(e: DataFrame) -> DataFrame:
     """Behaviour lines of every event, damaged in a way that changes from one to the next.
 

@@ -71,6 +71,19 @@ def land_access_log(spark: SparkSession, path: str | list[str], out: str, zone:
 
 
 def stream_access_log(
-    spark: SparkSession, path: str, mode: str = "failfast", zone: str = "UTC", max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    mode: str = "failfast",
+    zone: str = "UTC",
+    max_files: int | None = None,
+    arrival: bool = False,
 ) -> DataFrame | Parsed:
-    return records(stream_lines(spark, path, max_files), mode, zone)
+    """Records as files appear; with ``arrival``, and the columns by which ``number_arrivals`` orders lines."""
+    lines = stream_lines(spark, path, max_files, arrival)
+    if not arrival:
+        return records(lines, mode, zone)
+    columns = [*COLUMNS, *ARRIVAL[:3]]
+    keep = {"failfast": failfast, "quarantine": quarantine}
+    if mode not in keep:
+        raise ValueError(f"unknown mode {mode!r}")
+    return keep[mode](parse(lines, zone), columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import configure
@@ -27,6 +27,14 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 ARRIVAL = ["arrived_ms", "file", "block", "line_in_block"]
 
 
+def _place() -> list[Column]:
+    return [
+        F.unix_millis("_metadata.file_modification_time").alias("arrived_ms"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ]
+
+
 def read_arriving_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with the :data:`ARRIVAL` columns.
 
@@ -36,19 +44,36 @@ def read_arriving_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     lines = configure(spark).read.options(**_LINE_END).text(path)
     return lines.select(
         F.regexp_replace("value", "\r\\z", "").alias("value"),
-        F.unix_millis("_metadata.file_modification_time").alias("arrived_ms"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        *_place(),
         F.monotonically_increasing_id().alias("line_in_block"),
     )
 
 
-def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Lines of the files that appear in a folder."""
-    reader = configure(spark).readStream.options(**_LINE_END)
+def stream_lines(spark: SparkSession, path: str, max_files: int | None = None, arrival: bool = False) -> DataFrame:
+    """Lines of the files that appear in a folder, with ``arrival`` also the file and block they stand in."""
+    reader = configure(spark).readStream.options(**_LINE_END).option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _trimmed(reader.text(path))
+    lines = reader.text(path)
+    value = F.regexp_replace("value", "\r\\z", "").alias("value")
+    return lines.select(value, *_place()) if arrival else lines.select(value)
+
+
+def number_arrivals(rows: DataFrame, name: str = "arrival") -> DataFrame:
+    """Number the rows of a batch of files in the order their lines came in.
+
+    Blocks are numbered by the time their file was finished, its path and their place in it; a
+    block is read by one task, in order. Write the result out before using it twice.
+    """
+    place = ARRIVAL[:3]
+    in_block = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33))
+    blocks = rows.select(*place).distinct().withColumn("__block", F.row_number().over(Window.orderBy(*place)))
+    return (
+        rows.withColumn("__line", in_block)
+        .join(blocks, place)
+        .withColumn(name, F.col("__block").cast("bigint") * F.lit(1 << 33) + F.col("__line"))
+        .drop(*place, "__block", "__line")
+    )
 
 
 @dataclass(frozen=True)

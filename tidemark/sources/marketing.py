@@ -19,5 +19,8 @@ def read_marketing(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return _with_time(configure(spark).read.schema(MARKETING_RECORD).format(fmt).load(path))
 
 
-def stream_marketing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _with_time(configure(spark).readStream.schema(MARKETING_RECORD).format(fmt).load(path))
+def stream_marketing(spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
+    reader = configure(spark).readStream.schema(MARKETING_RECORD).option("recursiveFileLookup", True)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _with_time(reader.format(fmt).load(path))

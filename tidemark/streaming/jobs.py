@@ -6,29 +6,32 @@ a stream is done on the closed or changed counts of each batch, with the batch o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 from tidemark.functions.hashing import BITMAP_BITS, visitor_slot
-from tidemark.functions.timing import HOUR_MS, bounded_watermark, epoch_ms, monotone_watermark
+from tidemark.functions.timing import HOUR_MS, epoch_ms, monotone_watermark
 from tidemark.operators.counts import (
     HOT_ITEM_WINDOWS,
     HOT_PAGE_WINDOWS,
     channel_behavior_counts,
+    channel_window_text,
     item_view_counts,
-    page_requests_only,
-    page_view_counts,
     page_views,
     page_views_only,
 )
-from tidemark.operators.lateness import Lateness
-from tidemark.operators.topn import top_n
-from tidemark.operators.windows import Sliding, pane_of, tumbling, window_end
-from tidemark.schemas import ACCESS_LOG, PAGE_VIEW_COUNT
+from tidemark.operators.lateness import LatePages, Lateness, LookupLimits
+from tidemark.operators.topn import ranking_report, top_n
+from tidemark.operators.windows import Sliding, tumbling, window_end
+from tidemark.schemas import ACCESS_LOG
+from tidemark.sources.lines import number_arrivals
 from tidemark.streaming.sinks import for_each_batch
-from tidemark.streaming.tables import BatchTable
+from tidemark.streaming.state import last_batch, open_windows
+from tidemark.streaming.tables import FANOUT, BatchTable, KeyedTable, Keys
 
 
 def item_counts_stream(behavior: DataFrame, spec: Sliding = HOT_ITEM_WINDOWS) -> DataFrame:
@@ -59,10 +62,11 @@ def unique_visitors_stream(behavior: DataFrame, size_ms: int = HOUR_MS) -> DataF
     return counted.select(F.lit("uv").alias("name"), window_end(), "count")
 
 
-def ranking_schema(key: str, key_type) -> StructType:
+def ranking_schema(key: str, key_type: DataType, *others: StructField) -> StructType:
     return StructType(
         [
             StructField("window_end", LongType()),
+            *others,
             StructField("rank", LongType()),
             StructField(key, key_type),
             StructField("view_count", LongType()),
@@ -70,34 +74,127 @@ def ranking_schema(key: str, key_type) -> StructType:
     )
 
 
-def rank_closed_windows(
-    spark: SparkSession, counts: DataFrame, n: int, key: str, out: str, checkpoint: str, once: bool = False
-) -> tuple[StreamingQuery, BatchTable]:
-    """Top-N of an append-mode count stream.
+class WindowResults:
+    """What is made of a stream's windows as they close, and of the open ones when the input ends.
 
-    A window's counts all arrive in the batch that closes it, so the ranking of a batch is
-    final. It runs as a batch query, and no window's keys are gathered into one state row.
-    """
-    rankings = BatchTable(spark, out, ranking_schema(key, counts.schema[key].dataType))
+    ``counts`` is a windowed count in append mode: a window's rows all arrive in the batch that
+    closes it, so what ``result`` makes of a batch is final. It runs as a batch query.
 
-    def act(batch: DataFrame, batch_id: int) -> None:
-        rankings.write(top_n(batch, n, key), batch_id)
+    A stream closes a window when a later row moves its clock. Finite input ends with windows
+    that no row closes; ``finish`` takes these from the stream's state. Their results are
+    provisional: if more input follows, they are withdrawn with its first batch, and the windows
+    close in the ordinary way.
+    """
 
-    return for_each_batch(counts, act, checkpoint, once=once), rankings
+    def __init__(
+        self,
+        spark: SparkSession,
+        counts: DataFrame,
+        out: str,
+        checkpoint: str,
+        schema: StructType,
+        result: Callable[[DataFrame], DataFrame],
+        from_state: Callable[[], DataFrame],
+    ) -> None:
+        self.spark = spark
+        self.counts = counts
+        self.checkpoint = checkpoint
+        self.result = result
+        self.from_state = from_state
+        self.table = BatchTable(spark, out, schema)
+
+    def start(self, once: bool = False) -> StreamingQuery:
+        def act(batch: DataFrame, batch_id: int) -> None:
+            self.table.write(self.result(batch), batch_id)
+
+        return for_each_batch(self.counts, act, self.checkpoint, once=once)
+
+    def finish(self) -> None:
+        """Add the windows that are open at the end of the input. The stream must have stopped."""
+        committed, written = last_batch(self.spark, self.checkpoint), self.table.manifest().last
+        if committed != written:
+            raise ValueError(f"batch {written} is written but {committed} is committed: restart the stream first")
+        self.table.write_provisional(self.result(self.from_state()), committed)
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop("batch_id")
+
+
+def page_view_results(
+    spark: SparkSession, behavior: DataFrame, out: str, checkpoint: str, size_ms: int = HOUR_MS
+) -> WindowResults:
+    counts = page_views_stream(behavior, size_ms)
+    return WindowResults(
+        spark, counts, out, checkpoint, counts.schema, lambda closed: closed,
+        lambda: open_windows(spark, checkpoint, [], "count").withColumn("name", F.lit("pv")),
+    )
+
+
+def unique_visitor_results(
+    spark: SparkSession, behavior: DataFrame, out: str, checkpoint: str, size_ms: int = HOUR_MS
+) -> WindowResults:
+    counts = unique_visitors_stream(behavior, size_ms)
+    return WindowResults(
+        spark, counts, out, checkpoint, counts.schema, lambda closed: closed,
+        lambda: open_windows(spark, checkpoint, [], "count").withColumn("name", F.lit("uv")),
+    )
+
+
+def channel_results(
+    spark: SparkSession, marketing: DataFrame, out: str, checkpoint: str, spec: Sliding = Sliding(HOUR_MS, HOUR_MS)
+) -> WindowResults:
+    counts = channel_counts_stream(marketing, spec)
+    return WindowResults(
+        spark, counts, out, checkpoint, counts.schema, lambda closed: closed,
+        lambda: channel_window_text(open_windows(spark, checkpoint, ["channel", "behavior"], "count")),
+    )
+
+
+def item_rankings(
+    spark: SparkSession, behavior: DataFrame, out: str, checkpoint: str, n: int = 5, spec: Sliding = HOT_ITEM_WINDOWS
+) -> WindowResults:
+    """Top-N items of each window. No window's keys are gathered into one state row."""
+    counts = item_counts_stream(behavior, spec)
+    return WindowResults(
+        spark, counts, out, checkpoint, ranking_schema("item_id", counts.schema["item_id"].dataType),
+        lambda closed: top_n(closed, n, "item_id"),
+        lambda: open_windows(spark, checkpoint, ["item_id"], "view_count"),
+    )
+
+
+def item_reports(
+    spark: SparkSession,
+    behavior: DataFrame,
+    out: str,
+    checkpoint: str,
+    labels: tuple[str, str],
+    n: int = 5,
+    spec: Sliding = HOT_ITEM_WINDOWS,
+) -> WindowResults:
+    """The report text of each window's ranking, written as the window closes."""
+    counts = item_counts_stream(behavior, spec)
+    schema = StructType([StructField("window_end", LongType()), StructField("report", StringType())])
+    return WindowResults(
+        spark, counts, out, checkpoint, schema,
+        lambda closed: ranking_report(top_n(closed, n, "item_id"), "item_id", labels),
+        lambda: open_windows(spark, checkpoint, ["item_id"], "view_count"),
+    )
 
 
 class RunningVisitors:
     """Unique visitors per window by hash bitmap, up to date after every batch.
 
     The state store is the bitmap: a slot passes the first time it is seen in a window.
-    The result store holds how many new slots each batch brought, so repeating a batch
+    The result is a table by window to which each batch adds its new slots; repeating a batch
     replaces its share instead of counting it twice.
     """
 
-    SCHEMA = StructType([StructField("window_end", LongType()), StructField("new_visitors", LongType())])
+    SCHEMA = StructType([StructField("window_end", LongType()), StructField("uv_count", LongType())])
 
-    def __init__(self, spark: SparkSession, out: str, size_ms: int = HOUR_MS, bits: int = BITMAP_BITS) -> None:
-        self.table = BatchTable(spark, out, self.SCHEMA)
+    def __init__(
+        self, spark: SparkSession, out: str, size_ms: int = HOUR_MS, bits: int = BITMAP_BITS, fanout: int = FANOUT
+    ) -> None:
+        self.table = KeyedTable(spark, out, self.SCHEMA, Keys(("window_end",), {"uv_count": "sum"}), fanout)
         self.size_ms = size_ms
         self.bits = bits
 
@@ -106,120 +203,156 @@ class RunningVisitors:
         new = _first_seen(slotted, "slot", self.size_ms).select(window_end())
 
         def act(batch: DataFrame, batch_id: int) -> None:
-            self.table.write(batch.groupBy("window_end").agg(F.count("*").alias("new_visitors")), batch_id)
+            self.table.write(batch.groupBy("window_end").agg(F.count("*").alias("uv_count")), batch_id)
 
         return for_each_batch(new, act, checkpoint, once=once)
 
     def current(self) -> DataFrame:
-        return self.table.read().groupBy("window_end").agg(F.sum("new_visitors").alias("uv_count"))
+        return self.table.read().select("window_end", "uv_count")
 
 
-class RevisedPages:
-    """Page counts and rankings that follow late rows within the allowed lateness.
+class PageFirings:
+    """Page rankings as windows fire and are revised, counts, and the requests that come too late.
 
-    Counts leave the state store in update mode, as they change. A count never falls, so the
-    newest of a (URL, window) is the largest, in whatever order batches are read. Each batch
-    ranks again the windows it touched, over their complete counts.
+    One clock rules them all: the newest event time among the rows that arrived before a row. It
+    is judged row by row, inside a batch by the arrival columns and across batches by the value
+    the batches before have left. So results do not depend on how the input is cut into batches,
+    and a request is either late or counted.
 
-    To find those, a batch reads back no more than the last snapshot and the changes since.
-    A snapshot holds the windows that can still change, so neither grows with the stream's age.
+    A window fires when the clock passes its end and the disorder: that ranking has revision 0.
+    A request that comes later, but within the allowed lateness, revises it: each batch with such
+    requests adds a revision of the windows they belong to, over the counts up to date. Once the
+    clock passes the allowed lateness too, the window's counts are final and no longer read.
+
+    ``arrival`` names LONG columns whose ascending order is that of arrival, as for
+    :class:`RunningMax`. Without it, lines count in the order of the files and in them
+    (``stream_access_log`` with ``arrival=True``).
     """
 
-    # Spark judges lateness by the watermark of the batch before: at least 3.
-    SNAPSHOT_EVERY = 50
+    CLOCK = StructType([StructField("newest_ms", LongType())])
+    COUNTS = StructType(
+        [StructField("url", StringType()), *(StructField(c, LongType()) for c in ("window_end", "first_count", "view_count"))]
+    )
+    REVISIONS = StructType([StructField("window_end", LongType()), StructField("revision", LongType())])
+    RANKINGS = ranking_schema("url", StringType(), StructField("revision", LongType()))
+    # A repeated batch looks up the one before it.
+    KEEP = 2
 
     def __init__(
         self,
         spark: SparkSession,
         out: str,
+        arrival: list[str] | None = None,
         n: int = 3,
         spec: Sliding = HOT_PAGE_WINDOWS,
         lateness: Lateness = Lateness(),
+        limits: LookupLimits = LookupLimits(),
+        fanout: int = FANOUT,
     ) -> None:
-        self.counts = BatchTable(spark, f"{out}/counts", PAGE_VIEW_COUNT)
-        self.snapshots = BatchTable(spark, f"{out}/snapshots", PAGE_VIEW_COUNT)
-        self.rankings = BatchTable(spark, f"{out}/rankings", ranking_schema("url", StringType()))
+        self.numbered = arrival is None
+        self.arrival = arrival or ["arrival"]
         self.n = n
         self.spec = spec
         self.lateness = lateness
+        self.limits = limits
+        rows = [*ACCESS_LOG.fields, *(StructField(c, LongType()) for c in self.arrival)]
+        count = {"first_count": "sum", "view_count": "sum"}
+        window = ("window_end",)
+        self.input = BatchTable(spark, f"{out}/input", StructType(rows), fanout, keep=self.KEEP)
+        self.late = BatchTable(spark, f"{out}/late", StructType([*rows, StructField("running_max_ms", LongType())]), fanout)
+        self.open = KeyedTable(spark, f"{out}/open", self.COUNTS, Keys(("url", "window_end"), count, "window_end"), fanout)
+        self.closed = BatchTable(spark, f"{out}/closed", self.COUNTS, fanout)
+        self.revisions = KeyedTable(
+            spark, f"{out}/revisions", self.REVISIONS, Keys(window, {"revision": "max"}, "window_end"), fanout
+        )
+        self.rankings = BatchTable(spark, f"{out}/rankings", self.RANKINGS, fanout)
+        self.clock = BatchTable(spark, f"{out}/clock", self.CLOCK, fanout, keep=self.KEEP)
 
     def start(self, log: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-        counted = page_view_counts(bounded_watermark(log, self.lateness.closing_ms), self.spec)
-        return for_each_batch(counted, self.apply, checkpoint, mode="update", once=once)
-
-    def apply(self, changed: DataFrame, batch_id: int) -> None:
-        self.counts.write(changed, batch_id)
-        touched = self.counts.read_batches([batch_id]).select("window_end").distinct()
-        known = self._known(batch_id)
-        ranking = top_n(known.join(touched, "window_end", "left_semi"), self.n, "url")
-        self.rankings.write(ranking, batch_id)
-        if batch_id % self.SNAPSHOT_EVERY == 0:
-            self.snapshots.write(self._still_open(known, batch_id), batch_id)
-
-    def _last_snapshot(self, batch_id: int) -> DataFrame:
-        last = (batch_id - 1) // self.SNAPSHOT_EVERY * self.SNAPSHOT_EVERY
-        return self.snapshots.read_batches([last] if last >= 0 else [])
-
-    def _known(self, batch_id: int) -> DataFrame:
-        """Latest count of every (URL, window) that this batch can have touched."""
-        after = (batch_id - 1) // self.SNAPSHOT_EVERY * self.SNAPSHOT_EVERY + 1
-        changes = self.counts.read_batches(range(max(after, 0), batch_id + 1))
-        return self._latest(self._last_snapshot(batch_id).unionByName(changes))
-
-    def _still_open(self, known: DataFrame, batch_id: int) -> DataFrame:
-        """All but the windows that no later batch can change.
-
-        The newest row behind the snapshot before this one is at most ``size`` older than the
-        newest window end in it. The watermark has trailed that row by the closing time since
-        soon after, and Spark drops what comes for windows behind the watermark.
-        """
-        newest = self._last_snapshot(batch_id).agg(F.max("window_end")).first()[0]
-        if newest is None:
-            return known
-        return known.where(F.col("window_end") > newest - self.spec.size_ms - self.lateness.closing_ms)
+        return for_each_batch(log, self.apply, checkpoint, once=once)
 
-    @staticmethod
-    def _latest(counts: DataFrame) -> DataFrame:
-        return counts.groupBy("url", "window_end").agg(F.max("view_count").alias("view_count"))
+    def _newest(self, batch_id: int) -> int | None:
+        """The clock after a batch; null before any row with a time."""
+        if batch_id < 0:
+            return None
+        if batch_id > self.clock.manifest().last:
+            raise ValueError(f"the clock of batch {batch_id} is missing")
+        return self.clock.read_batches([batch_id]).first()["newest_ms"]
 
-    def current_counts(self) -> DataFrame:
-        return self._latest(self.counts.read())
+    def _passed(self, wait_ms: int, clock: int | None):
+        """Windows whose end and ``wait_ms`` the clock has passed."""
+        return F.lit(False) if clock is None else F.col("window_end") + wait_ms <= clock
 
-    def current_ranking(self) -> DataFrame:
-        """Each window's ranking as of the last batch that touched it."""
-        newest = Window.partitionBy("window_end")
-        return (
-            self.rankings.read()
-            .withColumn("newest", F.max("batch_id").over(newest))
-            .where(F.col("batch_id") == F.col("newest"))
-            .select("window_end", "rank", "url", "view_count")
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        before = self._newest(batch_id - 1)
+        if before is not None:
+            # What was final before this batch, so that repeating it finds the same windows.
+            for table in (self.open, self.revisions):
+                table.expire(before - self.lateness.closing_ms)
+        # The source is read once; everything below reads this copy.
+        self.input.write(number_arrivals(batch, self.arrival[0]) if self.numbered else batch, batch_id)
+        rows = self.input.read_batches([batch_id]).drop("batch_id")
+        newest = rows.agg(F.greatest(F.max(epoch_ms(F.col("ts"))), F.lit(before).cast("bigint")).alias("newest_ms"))
+        after = newest.first()["newest_ms"]
+
+        pages = LatePages(rows, self.arrival, self.spec, self.lateness, self.limits, before)
+        self.late.write(pages.late_rows(), batch_id)
+        self.open.write(pages.firings(), batch_id)
+        counts = self.open.read()
+        fired = self._passed(self.lateness.disorder_ms, after)
+        fired_before = self._passed(self.lateness.disorder_ms, before)
+        revised = (
+            self.open.read_batches([batch_id])
+            .where(fired & (F.col("view_count") > F.col("first_count")))
+            .select("window_end")
+            .distinct()
+        )
+        earlier = self.revisions.read_before(batch_id).select("window_end", F.col("revision").alias("done"))
+        numbers = revised.join(earlier, "window_end", "left").select(
+            "window_end", (F.coalesce("done", F.lit(0).cast("bigint")) + 1).alias("revision")
         )
+        self.revisions.write(numbers, batch_id)
+        numbers = self.revisions.read_batches([batch_id]).drop("batch_id")
+        first = self._first_ranking(counts.where(fired & ~fired_before))
+        revision = top_n(counts.join(numbers, "window_end", "left_semi"), self.n, "url").join(numbers, "window_end")
+        self.rankings.write(first.unionByName(revision), batch_id)
+        self.closed.write(
+            counts.where(self._passed(self.lateness.closing_ms, after) & ~self._passed(self.lateness.closing_ms, before)), batch_id
+        )
+        self.clock.write(newest, batch_id)
 
+    def _first_ranking(self, counts: DataFrame) -> DataFrame:
+        first = counts.select("url", "window_end", F.col("first_count").alias("view_count")).where("view_count > 0")
+        return top_n(first, self.n, "url").withColumn("revision", F.lit(0).cast("bigint"))
 
-class LateSplitter:
-    """Page requests that come too late for every window they belong to, set aside.
+    def finish(self) -> None:
+        """Fire the windows that are pending at the end of the input.
 
-    Spark drops such rows silently. Here each batch is held against the newest event time
-    of the batches before it, all rows counted, as the watermark would be.
-    """
+        These rankings are provisional: if more input follows, they are withdrawn with its first batch.
+        """
+        last = self.clock.manifest().last
+        pending = self.open.read().where(~self._passed(self.lateness.disorder_ms, self._newest(last)))
+        self.rankings.write_provisional(self._first_ranking(pending), last)
 
-    CLOCK = StructType([StructField("newest_ms", LongType())])
+    def counts(self) -> DataFrame:
+        """Requests per (URL, window) so far: ``first_count`` for its firing, ``view_count`` with those after it."""
+        newest = self._newest(self.clock.manifest().last)
+        still_open = self.open.read().where(~self._passed(self.lateness.closing_ms, newest))
+        return self.closed.read().unionByName(still_open).drop("batch_id")
 
-    def __init__(
-        self, spark: SparkSession, out: str, spec: Sliding = HOT_PAGE_WINDOWS, lateness: Lateness = Lateness()
-    ) -> None:
-        self.clock = BatchTable(spark, f"{out}/clock", self.CLOCK)
-        self.late = BatchTable(spark, f"{out}/late", ACCESS_LOG)
-        self.spec = spec
-        self.lateness = lateness
+    def first_ranking(self) -> DataFrame:
+        return self.rankings.read().where("revision = 0").select("window_end", "rank", "url", "view_count")
 
-    def start(self, log: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-        return for_each_batch(log, self.apply, checkpoint, once=once)
+    def current_ranking(self) -> DataFrame:
+        """Each window's ranking as of its last revision."""
+        newest = Window.partitionBy("window_end")
+        return (
+            self.rankings.read()
+            .withColumn("newest", F.max("revision").over(newest))
+            .where(F.col("revision") == F.col("newest"))
+            .select("window_end", "rank", "url", "view_count")
+        )
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.clock.read_batches([batch_id - 1]).agg(F.max("newest_ms")).first()[0]
-        last_end = self.spec.end_ms(self.spec.last_start(pane_of("ts", self.spec)))
-        too_late = F.lit(before).cast("bigint") >= last_end + self.lateness.closing_ms
-        self.late.write(page_requests_only(batch).where(too_late), batch_id)
-        newest = F.greatest(F.max(epoch_ms(F.col("ts"))), F.lit(before).cast("bigint"))
-        self.clock.write(batch.agg(newest.alias("newest_ms")), batch_id)
+    def reports(self, labels: tuple[str, str]) -> DataFrame:
+        """(window_end, revision, report) of every firing so far."""
+        return ranking_report(self.rankings.read(), "url", labels, keys=("window_end", "revision"))

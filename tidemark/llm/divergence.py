@@ -1,7 +1,7 @@
 """How far the sources of a language differ in their terms, from an index made in a single pass.
 
-Each task collects the postings of its texts in memory: occurrences by (language, source, term) and
-documents by (language, term). When there are too many, they are written as a run sorted by
+Each task collects the postings of its texts in memory: for each term the documents that have it,
+with their language and source and how often they do. When there are too many, they are written as a run sorted by
 term, cut by the shard of the term. A shard's runs, from all tasks, are merged with a heap into
 frequencies; only terms in enough documents are kept. No text is shuffled.
 
@@ -38,7 +38,7 @@ MIN_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP = 200
 #: Postings that a task holds before it writes a run, and terms in one chunk of a run.
-POSTINGS, CHUNK = 500_000, 4_000
+POSTINGS, CHUNK = 1_000_000, 4_000
 #: Pairs of postings that a task looks at a time, and pairs of groups it adds up before it passes them on.
 PAIRS, SUMS = 1 << 20, 1 << 18
 #: Groups are broadcast up to so many (some 64 MB).
@@ -53,36 +53,32 @@ _TERMS = bytes(
 
 
 class Postings:
-    """The postings of a block of texts."""
+    """The postings of a block of texts: for each term, (group, occurrences) of every document with it.
+
+    A group is the place of its (language, source) in ``groups``.
+    """
 
     def __init__(self) -> None:
-        self.occurrences: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        self.documents: dict[str, Counter] = defaultdict(Counter)
+        self.groups: dict[tuple[str, str], int] = {}
+        self.by_term: dict[bytes, list[int]] = {}
         self.size = 0
 
     def add(self, text: str, lang: str, source: str) -> None:
-        terms = text.encode("utf-8", "surrogatepass").translate(_TERMS).split()
-        for counter, found in ((self.occurrences[lang, source], terms), (self.documents[lang], set(terms))):
-            before = len(counter)
-            counter.update(found)
-            self.size += len(counter) - before
-
-    def sorted_run(self) -> tuple[list[tuple[str, str | None]], list[tuple[bytes, list[int]]]]:
-        """Groups, and (term, [group, n, group, n, ...]) by term.
-
-        A group is the place of (language, source), where n counts occurrences, or of
-        (language, None), where it counts documents.
-        """
-        counters = [*self.occurrences.items(), *(((lang, None), c) for lang, c in self.documents.items())]
-        by_term: dict[bytes, list[int]] = {}
-        for place, (_, counter) in enumerate(counters):
-            for term, n in counter.items():
-                known = by_term.get(term)
-                if known is None:
-                    by_term[term] = [place, n]
-                else:
-                    known += (place, n)
-        return [name for name, _ in counters], sorted(by_term.items())
+        counted = Counter(text.encode("utf-8", "surrogatepass").translate(_TERMS).split())
+        place = self.groups.setdefault((lang, source), len(self.groups))
+        by_term = self.by_term
+        for term, n in counted.items():
+            known = by_term.get(term)
+            if known is None:
+                by_term[term] = [place, n]
+            else:
+                known.append(place)
+                known.append(n)
+        self.size += len(counted)
+
+    def sorted_run(self) -> tuple[list[tuple[str, str]], list[tuple[bytes, list[int]]]]:
+        """Groups, and (term, [group, n, group, n, ...]) by term."""
+        return list(self.groups), sorted(self.by_term.items())
 
 
 RUNS = pa.schema([("shard", pa.int32()), ("run", pa.string()), ("chunk", pa.int32()), ("entries", pa.binary())])
@@ -128,21 +124,28 @@ FREQUENCIES = pa.schema(
 def merged(chunks: dict[str, list[bytes]], min_documents: int):
     """(lang, term, sources, counts) of the kept terms of a shard, whose runs are merged with a heap."""
 
-    def entries(parts: list[bytes]):
+    def entries(run: int, parts: list[bytes]):
         for part in parts:
             groups, found = pickle.loads(zlib.decompress(part))
             for term, counted in found:
-                yield term, groups, counted
-
-    for term, same in groupby(heapq.merge(*map(entries, chunks.values()), key=itemgetter(0)), key=itemgetter(0)):
-        total: dict[tuple[str, str | None], int] = {}
-        for _, groups, counted in same:
+                yield term, run, groups, counted
+
+    in_order = heapq.merge(*(entries(run, parts) for run, parts in enumerate(chunks.values())))
+    for term, same in groupby(in_order, key=itemgetter(0)):
+        found = [(groups, counted) for _, _, groups, counted in same]
+        if sum(len(counted) for _, counted in found) < 2 * min_documents:
+            continue
+        total: dict[tuple[str, str], int] = {}
+        documents: Counter = Counter()
+        for groups, counted in found:
             for place, n in zip(counted[::2], counted[1::2]):
                 group = groups[place]
                 total[group] = total.get(group, 0) + n
-        for lang in [lang for (lang, source), n in total.items() if source is None and n >= min_documents]:
-            found = [(source, n) for (of, source), n in total.items() if of == lang and source is not None]
-            yield lang, term.decode("utf-8", "surrogatepass"), [s for s, _ in found], [n for _, n in found]
+                documents[group[0]] += 1
+        for lang, n in documents.items():
+            if n >= min_documents:
+                kept = [(source, n) for (of, source), n in total.items() if of == lang]
+                yield lang, term.decode("utf-8", "surrogatepass"), [s for s, _ in kept], [n for _, n in kept]
 
 
 def frequencies(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, limit: int = POSTINGS) -> DataFrame:

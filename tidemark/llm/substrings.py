@@ -22,49 +22,64 @@ WINDOW = 13
 #: Windows that a task compares with each other before it sends them on.
 BUFFER = 1_000_000
 
-#: A run of ``windows`` consecutive windows of a document from ``at`` on: one to be grouped by its hash,
-#: or any number of which it is settled that they are removed.
-OPEN = "low bigint, high int, doc_id bigint, tag int, at int, windows int"
+#: A run of ``windows`` consecutive windows of a document from ``at`` on that are removed, or, with a
+#: ``leader``, that are if the window at that place of the document is. ``windows`` is 0 for a
+#: window to be grouped by its hash.
+OPEN = "low bigint, high int, doc_id bigint, tag int, at int, windows int, leader int"
 
 
 def window_hashes(text: str | None, size: int) -> np.ndarray:
     return rolled(word_hashes(words_of(text)), size)
 
 
+def runs_of(doc, tag, at, leader):
+    """(doc, tag, at, windows, leader) of consecutive places, in the order of documents and places."""
+    order = np.lexsort((at, leader, tag, doc))
+    doc, tag, at, leader = (x[order] for x in (doc, tag, at, leader))
+    breaks = np.ones(len(doc), bool)
+    breaks[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (leader[1:] != leader[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(breaks)
+    return doc[first], tag[first], at[first], np.diff(np.append(first, len(doc))).astype(np.int32), leader[first]
+
+
 def settle(low, high, doc, tag, at) -> pa.RecordBatch:
     """Windows for the exact grouping, after those of one task are compared.
 
     Of the documents of a task that share a window only the smallest can be the first one; for the others
     it is settled that the window is removed. So a window that is in very many documents is
-    sent on once for each task. Settled windows travel as runs, with their document as key.
+    sent on once for each task, and so is one that is very often in one document: there it goes
+    with the first of its places. All but these travel as runs, with their document as key.
     """
-    order = np.lexsort((doc, high, low))
+    order = np.lexsort((at, tag, doc, high, low))
     low, high, doc, tag, at = (x[order] for x in (low, high, doc, tag, at))
     new = np.ones(len(low), bool)
     new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
     settled = doc != doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    # Settled windows become runs, in the order of documents and places.
-    order = np.lexsort((at[settled], tag[settled], doc[settled]))
-    d, t, a = (x[settled][order] for x in (doc, tag, at))
-    breaks = np.ones(len(d), bool)
-    breaks[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (a[1:] != a[:-1] + 1)
-    first = np.flatnonzero(breaks)
-    runs = np.diff(np.append(first, len(d))).astype(np.int32)
-    rest = np.lexsort((at[~settled], doc[~settled]))  # alike values side by side take less room in a shuffle
+    leads = new.copy()
+    leads[1:] |= (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+    follows = ~leads & ~settled
+    leader = np.where(follows, at[np.flatnonzero(leads)][np.cumsum(leads) - 1], -1).astype(np.int32)
+    sent = settled | follows
+    d, t, a, runs, led = runs_of(*(x[sent] for x in (doc, tag, at, leader)))
+    rest = np.flatnonzero(~sent)
+    rest = rest[np.lexsort((at[rest], doc[rest]))]  # alike values side by side take less room in a shuffle
     columns = [
-        np.concatenate([x[~settled][rest], y])
+        np.concatenate([x[rest], y])
         for x, y in (
-            (low, d[first]), (high, np.zeros(len(first), np.int32)), (doc, d[first]), (tag, t[first]), (at, a[first]),
-            (np.zeros(len(doc), np.int32), runs),
+            (low, d), (high, np.zeros(len(d), np.int32)), (doc, d), (tag, t), (at, a),
+            (np.zeros(len(doc), np.int32), runs), (leader, led),
         )
     ]
     return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in columns], names=["low", "high", "doc_id", "tag", "at", "windows"]
+        [pa.array(x) for x in columns], names=["low", "high", "doc_id", "tag", "at", "windows", "leader"]
     )
 
 
 def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, tag, starts): runs (at, windows) of windows that are also in a smaller document."""
+    """(doc_id, tag, starts): runs (at, windows, leader) of windows that are also in a smaller document.
+
+    Those with a leader count only if the leader is among them.
+    """
     seen = repeated(docs, partial(window_hashes, size=size), expected_words(docs))
 
     def second_pass(batches):
@@ -90,7 +105,7 @@ def repeated_windows(docs: DataFrame, size: int) -> DataFrame:
     windows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "tag", "text").mapInArrow(second_pass, OPEN)
     first = F.min("doc_id").over(Window.partitionBy("low", "high"))
     removed = windows.withColumn("first", first).where((F.col("windows") > 0) | (F.col("doc_id") > F.col("first")))
-    run = F.struct("at", F.greatest("windows", F.lit(1)).alias("windows"))
+    run = F.struct("at", F.greatest("windows", F.lit(1)).alias("windows"), "leader")
     return removed.groupBy("doc_id", "tag").agg(F.collect_list(run).alias("starts"))
 
 
@@ -119,9 +134,11 @@ def deduplicate(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             words = zlib.decompress(text).split() if text else []
             gone = np.zeros(len(words) + 1, np.int64)
             if at is not None:
-                begin = np.array([r["at"] for r in at])
+                alone = {r["at"] for r in at if r["leader"] < 0}
+                removed = [r for r in at if r["leader"] < 0 or r["leader"] in alone]
+                begin = np.array([r["at"] for r in removed], np.int64)
                 np.add.at(gone, begin, 1)
-                np.add.at(gone, begin + [r["windows"] + size - 1 for r in at], -1)
+                np.add.at(gone, begin + np.array([r["windows"] + size - 1 for r in removed], np.int64), -1)
             kept = [w for w, n in zip(words, np.cumsum(gone)[:-1]) if not n]
             out["n_words"].append(len(words))
             out["n_removed"].append(len(words) - len(kept))

@@ -31,37 +31,43 @@ def unescaped(c: Column) -> Column:
     return c
 
 
-def root_paths(messages: DataFrame) -> DataFrame:
-    """(conv_id, leaf, node, up): every node of each root-to-leaf path, ``up`` steps above its leaf.
+def jumps_to_roots(messages: DataFrame) -> list[DataFrame]:
+    """Tables (conv_id, node, to, total): the ancestor 2^k steps up, if there is one, and the score on the way.
 
-    ``messages`` has conv_id, node and parent. A node whose parent is null or absent is a
-    root. Each round joins the jumps of 2^k steps with themselves; going back through them, the
-    set of ancestors found so far is joined once for each k. Rows are as many as the paths have
-    nodes, in rounds logarithmic in the depth. A cycle raises an error.
+    ``messages`` has conv_id, node (unique within it), parent and score. A node whose parent is
+    null or absent is a root. Each round joins the last table with itself, so rounds are
+    logarithmic in the depth and rows as many as there are nodes; in the last table no node has
+    an ancestor that far, and ``total`` is the score of its whole path. A cycle raises an error.
     """
-    nodes = messages.select("conv_id", "node", "parent")
+    nodes = messages.select("conv_id", "node", "parent", "score")
     ids = nodes.select(F.col("conv_id").alias("c"), F.col("node").alias("n"))
     jump = materialize(
-        nodes.join(ids, nodes["conv_id"].eqNullSafe(ids["c"]) & (nodes["parent"] == ids["n"]))
-        .select("conv_id", "node", F.col("parent").alias("to")),
+        nodes.join(ids, nodes["conv_id"].eqNullSafe(ids["c"]) & (nodes["parent"] == ids["n"]), "left")
+        .select("conv_id", "node", F.col("n").alias("to"), F.col("score").alias("total")),
         "jumps",
     )
-    inner = jump.select(F.col("conv_id").alias("c"), F.col("to").alias("n"))
-    leaves = nodes.join(inner, nodes["conv_id"].eqNullSafe(inner["c"]) & (nodes["node"] == inner["n"]), "left_anti")
-    jumps = []
-    while not jump.isEmpty():
-        jumps.append(jump)
+    jumps = [jump]
+    while not jump.where("`to` IS NOT NULL").isEmpty():
         if len(jumps) > MAX_ROUNDS:
             raise ValueError("replies form a cycle")
-        further = jump.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("to").alias("next"))
+        further = jump.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("to").alias("next"), F.col("total").alias("more"))
         jump = materialize(
-            jump.join(further, jump["conv_id"].eqNullSafe(further["c"]) & (jump["to"] == further["n"]))
-            .select("conv_id", "node", F.col("next").alias("to")),
+            jump.join(further, jump["conv_id"].eqNullSafe(further["c"]) & (jump["to"] == further["n"]), "left")
+            .select("conv_id", "node", F.col("next").alias("to"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")),
             "jumps",
         )
-    paths = leaves.select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up"))
-    for k in range(len(jumps) - 1, -1, -1):
-        step = jumps[k].select(F.col("conv_id").alias("c"), F.col("node").alias("n"), "to")
+        jumps.append(jump)
+    return jumps
+
+
+def root_paths(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(conv_id, leaf, node, up): every node of the path from each of ``leaves`` to its root, ``up`` steps above the leaf.
+
+    Going back through the jumps, the ancestors found so far are joined once for each k.
+    """
+    paths = leaves.select("conv_id", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("bigint").alias("up"))
+    for k in range(len(jumps) - 2, -1, -1):
+        step = jumps[k].where("`to` IS NOT NULL").select(F.col("conv_id").alias("c"), F.col("node").alias("n"), "to")
         above = paths.join(step, paths["conv_id"].eqNullSafe(step["c"]) & (paths["node"] == step["n"])).select(
             "conv_id", "leaf", F.col("to").alias("node"), (F.col("up") + 2**k).alias("up")
         )
@@ -97,27 +103,35 @@ def format_turns(turns: Column) -> tuple[Column, Column]:
 def format_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     """(conv_id, leaf, branch_score, formatted, loss_spans) of the best ``branches`` of each tree.
 
-    ``messages`` has conv_id, node (unique within it), parent, role, text and score. A branch
-    scores the sum of its messages, null counting as nothing; ties go to the smaller leaf. Null
-    texts and roles count as empty, a null conv_id is a conversation of its own, and an empty
-    table gives no rows.
+    ``messages`` has conv_id, node, parent, role, text and score. A branch scores the sum of its
+    messages, null counting as nothing; ties go to the smaller leaf. Branches are ranked before
+    any path is written. Of rows with the same conv_id and node, repeated or different, the one
+    with the smallest parent, role, text and score counts, nulls first; a row without a node is
+    no message. Null texts and roles count as empty, a null conv_id is a conversation of its own, and an
+    empty table gives no rows. Other columns are not looked at.
     """
-    m = messages.select(
+    m = messages.where(F.col("node").isNotNull()).select(
         "conv_id", "node", "parent", F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"),
     )
-    paths = root_paths(m)
-    said = m.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), "role", "text", "score")
-    same = paths["conv_id"].eqNullSafe(said["c"]) & (paths["node"] == said["n"])
-    scores = paths.join(said.drop("role", "text"), same).groupBy("conv_id", "leaf").agg(F.sum("score").alias("branch_score"))
+    first = Window.partitionBy("conv_id", "node").orderBy(F.asc_nulls_first("parent"), "role", "text", "score")
+    m = materialize(m.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place"), "messages")
+    jumps = jumps_to_roots(m)
+    inner = m.select(F.col("conv_id").alias("c"), F.col("parent").alias("n")).where("n IS NOT NULL")
+    scores = jumps[-1].join(
+        inner, jumps[-1]["conv_id"].eqNullSafe(inner["c"]) & (jumps[-1]["node"] == inner["n"]), "left_anti"
+    ).select("conv_id", F.col("node").alias("leaf"), F.col("total").alias("branch_score"))
     best = Window.partitionBy("conv_id").orderBy(F.desc("branch_score"), "leaf")
     chosen = scores.withColumn("place", F.row_number().over(best)).where(F.col("place") <= branches).drop("place")
+    chosen = materialize(chosen, "branches")
+    paths = root_paths(chosen, jumps)
+    said = m.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), "role", "text")
     picked = chosen.select(F.col("conv_id").alias("cc"), F.col("leaf").alias("ll"), "branch_score")
     turns = (
-        paths.join(picked, paths["conv_id"].eqNullSafe(picked["cc"]) & (paths["leaf"] == picked["ll"]))
-        .join(said, same)
-        .groupBy("conv_id", "leaf", "branch_score")
+        paths.join(said, paths["conv_id"].eqNullSafe(said["c"]) & (paths["node"] == said["n"]))
+        .groupBy("conv_id", "leaf")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"))
+        .join(picked, F.col("conv_id").eqNullSafe(F.col("cc")) & (F.col("leaf") == F.col("ll")))
     )
     formatted, spans = format_turns(F.col("turns"))
     return turns.select("conv_id", "leaf", "branch_score", formatted.alias("formatted"), spans.alias("loss_spans"))
@@ -174,8 +188,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL).alias("text"),
     )
-    messages = materialize(chains(given.unionByName(added)), "messages")
-    return digests(format_branches(messages))
+    return digests(format_branches(chains(given.unionByName(added))))
 
 
 OP5_SQL = """

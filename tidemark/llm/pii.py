@@ -12,6 +12,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -312,18 +313,27 @@ def masked(text: str, weights: np.ndarray) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The same rows with personal data masked in ``text``, and ``n_chars`` brought up to date."""
-    weights = train(materialize(scan(docs).select("extra", "seen"), "pii"))
+    """The same rows with personal data masked in ``text``, and ``n_chars``, if there is one, brought up to date.
 
-    def run(rows: dict) -> dict:
-        texts = [t if t is None else masked(t, weights) for t in rows["text"]]
-        return {**rows, "text": texts, "n_chars": [n if t is None else len(t) for t, n in zip(texts, rows["n_chars"])]}
+    A null text stays null, and other columns stay as they are.
+    """
+    weights = train(materialize(scan(docs).select("extra", "seen"), "pii"))
 
-    columns = docs.select(
-        F.col("doc_id").cast("bigint"), "text", F.col("lang").cast("string"), F.col("source").cast("string"),
-        F.col("n_chars").cast("bigint"),
-    )
-    return map_batches(columns, run, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    def run(batches):
+        for batch in batches:
+            names = batch.schema.names
+            old = batch.column(names.index("text")).to_pylist()
+            texts = [t if t is None else masked(t, weights) for t in old]
+            new = {"text": texts}
+            if "n_chars" in names:
+                before = batch.column(names.index("n_chars")).to_pylist()
+                new["n_chars"] = [n if t is None else len(t) for t, n in zip(texts, before)]
+            for name, values in new.items():
+                at = names.index(name)
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

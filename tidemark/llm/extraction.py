@@ -2,14 +2,18 @@
 
 The standard library's parser streams events; each block of a page becomes one line with its
 text length and its number of tags. The ratios of text to tags are smoothed by a Gaussian, and
-lines above a threshold form clusters. The cluster with most text, widened to the element
-that holds it, is the content region. What its markup names as something other than
-content is left out wherever it stands.
+lines above a threshold form clusters; the cluster with most text, and what stands with it, is
+the content region. Names of elements and classes only lower a line's ratio: they choose nothing.
+
+A null or empty page, and one without text, has an empty text. Repeated rows are extracted each,
+columns other than page_id, url and html are not looked at, and an empty table gives an empty result. Work and
+memory are in proportion to the page, however deep its elements are nested.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -18,54 +22,86 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.base import map_batches, table
 
-# Element names of the HTML standard, and what authors call boilerplate.
-SKIPPED = frozenset(
-    "script style noscript template nav header footer aside form button select textarea iframe svg math "
-    "head title object canvas dialog menu".split()
-)
+# Element names of the HTML standard, and what authors call boilerplate or content.
+NO_TEXT = frozenset("script style noscript template select textarea iframe svg math head title object canvas option".split())
+ASIDE = frozenset("nav header footer aside form button dialog menu".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var br wbr img".split()
 )
-CONTAINERS = frozenset("article main section div body html td".split())
+REGIONS = frozenset("article main section div body html nav header footer aside form dialog menu".split())
+ENDED_BY_THEIR_LIKE = frozenset("p li dt dd tr td th".split())
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|sidebar\w*|footer|header|"
     r"masthead|breadcrumbs?|cookies?|notice\w*|consent|popup|modal|newsletter|subscribe|share|social|"
     r"comments?|replies|reply|related|recommend\w*|login|signup)(?:$|[\s_-])",
     re.I,
 )
+CONTENT = re.compile(r"(?:^|[\s_-])(?:article|entry|post|content|story|body|text|main)(?:$|[\s_-])", re.I)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 SPACE = re.compile(r"\s+")
 
 #: Width of the Gaussian in lines, and the share of the ratios' standard deviation as threshold.
 SIGMA = 1.0
 THRESHOLD = 0.5
+#: What is left of the ratio of a line whose markup names it as something else than content.
+NOISE_WEIGHT = 0.05
+#: A line with more of its text in links than this is a list of links.
+LINKS = 0.5
 
 
 class Blocks(HTMLParser):
-    """Lines of a page: text, number of tags, the containers it stands in, and whether skipped.
+    """Lines of a page: text, number of tags, share in links, weight and region.
 
-    An unclosed ``p`` or ``li`` ends where the next block begins, and an end tag closes what is
-    open within its element, so that broken markup does not swallow what follows.
+    Regions are numbered as they open; ``last`` is the highest number inside each, so whether one
+    lies in another is a comparison. An unclosed ``p`` or ``li`` ends where the next block begins, and
+    an end tag closes what is open within its element, so that broken markup does not swallow
+    what follows.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # name, number, skipped
-        self.numbers = 0
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.stack: list[tuple[str, int, float]] = []  # name, region, weight
+        self.open: Counter = Counter()
+        self.last: list[int] = [0]  # region 0 is the page
+        self.lines: list[tuple[str, int, float, float, int]] = []
         self.parts: list[str] = []
+        self.linked = 0
         self.tags = 1
-        self.preformatted = 0
+
+    def here(self) -> tuple[int, float]:
+        return self.stack[-1][1:] if self.stack else (0, 1.0)
 
     def end_block(self) -> None:
-        text = SPACE.sub(" ", "".join(self.parts)).strip()
+        raw = "".join(self.parts)
+        text = SPACE.sub(" ", raw).strip()
         if text:
-            path = tuple(n for name, n, _ in self.stack if name in CONTAINERS)
-            self.lines.append((text, self.tags, path, bool(self.stack) and self.stack[-1][2]))
+            region, weight = self.here()
+            if weight > 0:
+                self.lines.append((text, self.tags, min(1.0, self.linked / len(raw)), weight, region))
             self.tags = 1
-        self.parts = []
+        self.parts, self.linked = [], 0
+
+    def pop(self, k: int) -> None:
+        """Close the elements from the k-th open one on."""
+        for name, region, _ in self.stack[k:]:
+            self.open[name] -= 1
+            self.last[region] = len(self.last) - 1
+        del self.stack[k:]
+
+    def weigh(self, tag: str, attrs: dict[str, str]) -> float:
+        if tag in NO_TEXT or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+            return 0.0
+        if "display:none" in attrs.get("style", "").replace(" ", ""):
+            return 0.0
+        # A header inside the article holds its title, not the site's.
+        named = tag in ASIDE and not (tag == "header" and self.open["article"])
+        named = named or attrs.get("role", "").lower() in NOISE_ROLES
+        if tag not in ("html", "body", "article", "main"):
+            names = [attrs.get(k, "") for k in ("class", "id")]
+            named = named or any(NOISE.search(x) and not CONTENT.search(x) for x in names)
+        return NOISE_WEIGHT if named else 1.0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -77,33 +113,26 @@ class Blocks(HTMLParser):
             return
         if tag not in INLINE:
             self.end_block()
-            if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-                self.close_open(tag)
-        given = {k: v or "" for k, v in attrs}
-        noise = (
-            tag in SKIPPED
-            or "hidden" in given
-            or given.get("aria-hidden") == "true"
-            or given.get("role", "").lower() in NOISE_ROLES
-            or (tag not in ("html", "body", "article", "main") and any(NOISE.search(given.get(k, "")) for k in ("class", "id")))
-            or "display:none" in given.get("style", "").replace(" ", "")
-        )
-        # A header inside the article holds its title, not the site's.
-        if tag == "header" and any(name == "article" for name, _, _ in self.stack):
-            noise = False
-        if noise and tag in INLINE:
+            if tag in ENDED_BY_THEIR_LIKE and self.open[tag]:
+                self.close_like(tag)
+        region, outer = self.here()
+        weight = min(outer, self.weigh(tag, {k: v or "" for k, v in attrs}))
+        if weight != outer and tag in INLINE:
             self.end_block()
-        self.numbers += 1
-        self.stack.append((tag, self.numbers, noise or bool(self.stack) and self.stack[-1][2]))
+        if tag in REGIONS:
+            self.last.append(len(self.last))
+            region = len(self.last) - 1
+        self.open[tag] += 1
+        self.stack.append((tag, region, weight))
 
-    def close_open(self, tag: str) -> None:
-        """An open element of the same name within the current container ends here."""
+    def close_like(self, tag: str) -> None:
+        """An open element of the same name ends here, unless a region or a list began inside it."""
         for k in range(len(self.stack) - 1, -1, -1):
             name = self.stack[k][0]
             if name == tag:
-                del self.stack[k:]
+                self.pop(k)
                 return
-            if name in CONTAINERS or name in ("ul", "ol", "dl", "table", "blockquote", "nav", "footer", "header", "aside"):
+            if name in REGIONS or name in ("ul", "ol", "dl", "table", "blockquote"):
                 return
 
     def handle_startendtag(self, tag, attrs):
@@ -113,22 +142,32 @@ class Blocks(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        if tag not in INLINE or any(name == tag and skipped for name, _, skipped in self.stack[-1:]):
+        if tag not in INLINE:
             self.end_block()
+        if not self.open[tag]:
+            return
         for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
+            name, _, weight = self.stack[k]
+            if name == tag:
+                outer = self.stack[k - 1][2] if k else 1.0
+                if weight != outer:
+                    self.end_block()
+                self.pop(k)
                 return
-            if tag in INLINE and self.stack[k][0] not in INLINE:
+            if tag in INLINE and name not in INLINE:
                 return
 
     def handle_data(self, data):
         self.parts.append(data)
+        if self.open["a"]:
+            self.linked += len(data)
 
     def finish(self, html: str) -> list:
         self.feed(html)
         self.close()
         self.end_block()
+        self.pop(0)
+        self.last[0] = len(self.last) - 1
         return self.lines
 
 
@@ -139,57 +178,69 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / weight
 
 
-def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
-    """Blocks of the content region in page order, joined by newlines; empty if there are none.
+def ratios_of(lines: list) -> np.ndarray:
+    """Text outside links for each tag, lowered by what names the line."""
+    return np.array([weight * len(text) * (1 - linked) / tags for text, tags, linked, weight, _ in lines])
+
+
+def content(lines: list, last: list[int], ratios: np.ndarray, sigma: float, threshold: float) -> list[int]:
+    """The lines of the content region.
 
-    The seed is the cluster with most text. The region is the innermost container that holds
-    the seed, or the ``article`` or ``main`` around it; every block of the region that
-    is not marked as something else belongs to the text, however short, for short paragraphs
-    between long ones have low ratios too.
+    A line is dense if its smoothed ratio and its own reach the threshold. The cluster of dense
+    lines with most text is the core, text counting as much as it does in the ratios, and the region
+    that holds most of it is the content region. From the first to the last dense line inside
+    that region all lines stay that are not named otherwise or links, for short paragraphs between
+    long ones have low ratios too. Before and after, such lines stay if they stand in the region
+    itself: a title, a short last paragraph.
     """
+    if not len(lines):
+        return []
+    smooth = smoothed(ratios, sigma)
+    limit = threshold * smooth.std() or smooth.max()
+    if limit <= 0:
+        return []
+    dense = (smooth >= limit) & (ratios >= min(limit, ratios.max()))
+    if not dense.any():
+        dense = ratios == ratios.max()
+    near = smooth >= limit
+    mass_of = ratios * np.array([tags for _, tags, *_ in lines])
+    best, mass, k = [], -1.0, 0
+    while k < len(lines):
+        if not near[k]:
+            k += 1
+            continue
+        run = []
+        while k < len(lines) and near[k]:
+            if dense[k]:
+                run.append(k)
+            k += 1
+        size = mass_of[run].sum() if run else -1.0
+        if size > mass:
+            best, mass = run, size
+    if not best:
+        best = np.flatnonzero(dense).tolist()[:1]
+    held = Counter()
+    for j in best:
+        held[lines[j][4]] += mass_of[j]
+    region = max(held, key=lambda r: (held[r], -r))
+    inside = [j for j in range(len(lines)) if region <= lines[j][4] <= last[region]]
+    core = [j for j in inside if dense[j]]
+
+    def stays(j: int) -> bool:
+        _, _, linked, weight, at = lines[j]
+        return weight == 1.0 and linked <= LINKS and (core[0] < j < core[-1] or at == region)
+
+    return [j for j in inside if dense[j] or stays(j)]
+
+
+def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHOLD, ratios=ratios_of) -> str:
+    """Blocks of the content region in page order, joined by newlines; empty if there are none."""
     if not html:
         return ""
     parser = Blocks()
-    articles: set[int] = set()
-    start = parser.handle_starttag
-
-    def noting(tag, attrs):
-        start(tag, attrs)
-        if tag in ("article", "main") and parser.stack:
-            articles.add(parser.stack[-1][1])
-
-    parser.handle_starttag = noting
     lines = parser.finish(html)
-    if not lines:
-        return ""
-    ratios = np.array([0.0 if skipped else len(text) / tags for text, tags, _, skipped in lines])
-    if not ratios.any():
-        return ""
-    smooth = smoothed(ratios, sigma)
-    dense = (smooth >= threshold * smooth.std()) & (ratios > 0)
-    best, size, run = [], -1, []
-    for k in range(len(lines) + 1):
-        if k < len(lines) and dense[k]:
-            run.append(k)
-        elif run:
-            mass = sum(len(lines[j][0]) for j in run)
-            if mass > size:
-                best, size = run, mass
-            run = []
-    marked: dict[int, int] = {}
-    for j in best:
-        for n in lines[j][2]:
-            if n in articles:
-                marked[n] = marked.get(n, 0) + len(lines[j][0])
-    if marked:
-        region = max(marked, key=lambda n: (marked[n], -n))
-    else:
-        shared = set(lines[best[0]][2])
-        for j in best[1:]:
-            shared &= set(lines[j][2])
-        region = max(shared, default=None)
-    chosen = [x[0] for x in lines if not x[3] and (region is None or region in x[2])]
-    return "\n".join(chosen)
+    chosen = content(lines, parser.last, ratios(lines), sigma, threshold)
+    return "\n".join(lines[j][0] for j in chosen)
 
 
 def extract(pages: DataFrame) -> DataFrame:

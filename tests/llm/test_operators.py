@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, jaccard, packing, pii, quality, queries, scoring, substrings
+from tidemark.llm import decontamination, extraction, jaccard, packing, pii, quality, queries, scoring, secrets, substrings
 from tidemark.llm.base import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -63,6 +63,32 @@ def test_secrets(spark, sf_small, texts):
         assert [found[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s[1] == k for s in spans) for k in range(3)]
 
 
+PARTS = "account address builder cache client command config connection container context controller data decoder default device "
+PARTS += "document element encoder endpoint error event factory filter format handler header index listener manager message method model "
+PARTS += "module network object option order packet parameter parser policy process profile property provider query record register "
+PARTS = (PARTS + "request resource response result schema server service session signal source status stream string system table token user value").split()
+
+
+def identifier(rng):
+    words = [PARTS[k] for k in rng.integers(0, len(PARTS), 4)]
+    return "_".join(words) if rng.random() < 0.5 else words[0] + "".join(w.title() for w in words[1:])
+
+
+def test_models_tell_secrets_from_identifiers(spark):
+    """Strings that no pattern names are found, identifiers with digits of the same length are left alone."""
+    rng = np.random.default_rng(17)
+    signs = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    secret = lambda n: "".join(rng.choice(signs, n)) + "7a"
+    corpus = [(k, " ".join(identifier(rng) for _ in range(20))) for k in range(100)]
+    hidden = [(1000 + k, f"see {secret(30)} in the log") for k in range(200)]
+    alike = [(2000 + k, f"see {identifier(rng)}_v{k % 10} in the log") for k in range(200)]
+    docs = spark.createDataFrame(corpus + hidden + alike, "doc_id bigint, text string")
+    added = {r["doc_id"]: [(s["start"], s["end"]) for s in r["added"]] for r in secrets.scan(docs).collect()}
+    assert sum(added[i] == [(4, 36)] for i, _ in hidden) >= 190
+    assert sum(bool(added[i]) for i, _ in alike) <= 4
+    assert not any(added[i] for i, _ in corpus)
+
+
 def test_packing(spark, sf_small, texts):
     from tokenizers import Tokenizer
 
@@ -144,18 +170,114 @@ def test_lines_of_many_documents(spark):
     assert all(found[i]["removed_words"] == 0 for i in (8, 9, 20))
 
 
+def test_copies_do_not_change_the_share_of_a_line(spark):
+    """Boilerplate in 100 documents of a host is found whether or not one of them has 20,000 copies."""
+    body = lambda i: " ".join("abcdefghij"[int(d)] * 3 + "y" * k for k in range(30) for d in f"{i:02d}")
+    texts = [f"{body(i)}\nthe boilerplate of this host\n{body(i)[::-1]}" for i in range(100)]
+    rows = [(i, t, "a") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("n_chars", F.length("text").cast("bigint"))
+    many = docs.where("doc_id = 7").crossJoin(spark.range(20_000)).select((F.col("id") + 1000).alias("doc_id"), "text", "source", "n_chars")
+    for given in (docs, docs.unionByName(many)):
+        judged = quality.assess(given)
+        assert judged.where("removed_words <> 5").count() == 0
+        kept = quality.keep(given)
+        assert kept.columns == given.columns and kept.count() == given.count()
+        assert kept.where("text LIKE '%boilerplate%' OR n_chars <> length(text)").count() == 0
+        first = kept.where("doc_id = 3").first()
+        assert first["text"] == f"{body(3)}\n{body(3)[::-1]}"
+
+
+def test_lines_that_differ_in_digits_are_removed_alike():
+    hashes = set(quality.word_hashes([quality.normal("Page 3 of  9")]).view(np.int64).tolist())
+    assert quality.without_lines("a\npage 12 OF 0\n\n b ", hashes) == "a\n\n b "
+
+
+def test_windows_repeated_in_a_document(spark):
+    """One word for ever, two in turn, and parts of them in other documents."""
+    texts = {1: "w " * 3000, 2: "w " * 40 + "x", 3: "a b " * 500, 4: "z " + "a b " * 30, 5: "w " * 12 + "q", 0: "b a " * 7}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    first, expected = {}, {}
+    for i, t in sorted(texts.items()):
+        words = t.split()
+        for k in range(len(words) - 12):
+            first.setdefault(tuple(words[k : k + 13]), i)
+    for i, t in texts.items():
+        words = t.split()
+        gone = {k + j for k in range(len(words) - 12) if first[tuple(words[k : k + 13])] < i for j in range(13)}
+        expected[i] = " ".join(w for k, w in enumerate(words) if k not in gone)
+    for given in (docs.coalesce(1), docs.repartition(6)):
+        assert {r["doc_id"]: r["kept"] for r in substrings.deduplicate(given).collect()} == expected
+
+
+def test_a_window_is_sent_once_for_each_document():
+    n = 100_000
+    one = np.ones(n, np.int64)
+    sent = substrings.settle(one, one.astype(np.int32), one, one.astype(np.int32), np.arange(n, dtype=np.int32))
+    assert sent.num_rows == 2  # the window, and a run of those that go with it
+
+
+def article_of(page):
+    article = re.search("<article>(.*?)</article>", page, re.S).group(1)
+    blocks = [re.sub("</?b>", "", b.replace("<br>", " ")) for b in re.split("</?p>|</?h1>", article)]
+    blocks = [re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks]
+    return "\n".join(b for b in blocks if b)
+
+
 def test_extraction(spark, sf_small):
     found = rows_of(spark, sf_small, "op7_html_extraction", "page_id")
     pages = duckdb.sql(f"select page_id, html from '{sf_small}/pages.parquet'").fetchall()
     assert len(found) == len(pages)
     for i, page in pages:
-        article = re.search("<article>(.*?)</article>", page, re.S).group(1)
-        blocks = [re.sub("</?b>", "", b.replace("<br>", " ")) for b in re.split("</?p>|</?h1>", article)]
-        blocks = [re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks]
-        expected = "\n".join(b for b in blocks if b)
+        expected = article_of(page)
         assert (found[i]["text"], found[i]["n_chars"]) == (expected, len(expected))
 
 
+def test_ratios_choose_the_lines(sf_check):
+    """Other ratios give other texts; elements and classes without telling names give nearly the same."""
+    pages = [p for p, in duckdb.sql(f"select html from '{sf_check}/pages.parquet'").fetchall()]
+    right = lambda change, **kw: sum(extraction.main_text(change(p), **kw) == article_of(p) for p in pages) / len(pages)
+    rng = np.random.default_rng(4)
+    same = lambda p: p
+    untold = lambda p: re.sub(r' class="[^"]*"', "", re.sub(r"<(/?)(nav|footer|aside|header|article|main)\b", r"<\1div", p))
+    assert right(same) == 1
+    assert right(untold) > 0.97
+    assert right(same, ratios=lambda lines: np.ones(len(lines))) < 0.6
+    assert right(same, ratios=lambda lines: rng.random(len(lines))) < 0.6
+
+
+LONG = "A paragraph of some length that nobody would take for a menu, a notice or an advert. " * 3
+
+
+def test_names_only_weigh():
+    page = f"""<body><div class="menu"><a href="x">Home</a> <a href="y">About</a></div>
+    <div class="page"><div class="entry-header"><h1>A title</h1></div><p>{LONG}</p><p>Short.</p><div class="ad">Buy it now!</div>
+    <section class="related-work"><h2>Related work</h2><p>{LONG * 6}</p></section><p>{LONG}</p><p>The end.</p></div>
+    <div class="comments"><p>First!</p><p>I like it.</p></div><footer>Imprint</footer></body>"""
+    found = extraction.main_text(page).split("\n")
+    long = LONG.strip()
+    assert {"Short.", "The end.", long, (LONG * 6).strip()} <= set(found)
+    assert not {"Home", "Home About", "Buy it now!", "First!", "I like it.", "Imprint"} & set(found)
+
+
+def test_deep_pages_take_memory_in_proportion():
+    import tracemalloc
+
+    peaks = []
+    for n in (5_000, 40_000):
+        page = "<div>x" * n
+        tracemalloc.start()
+        text = extraction.main_text(page)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert set(text) <= {"x", "\n"}
+    assert peaks[1] < 12 * peaks[0]
+
+
+@pytest.mark.parametrize("page", ["<p>", "text alone", "<nav>only a menu</nav>", "<a href='x'>only links</a>", "</p></div>", "<script>x", "<p>a<p>b"])
+def test_pages_of_little(page):
+    assert isinstance(extraction.main_text(page), str)
+
+
 def shingle_set(text):
     words = (text or "").encode().lower().split()
     return frozenset(zip(words, words[1:], words[2:])) if len(words) > 2 else frozenset([tuple(words)] if words else [])
@@ -371,13 +493,32 @@ def test_reply_trees(spark):
     assert chat.format_branches(messages, branches=5).where("conv_id = 1").count() == 2
 
 
+def test_repeated_messages_count_once(spark):
+    from tidemark.llm import chat
+
+    rows = [(1, 1, None, "user", "q", 1.0), (1, 2, 1, "assistant", "a", 1.0), (1, 3, 1, "assistant", "b", 1.5), (1, None, 1, "user", "x", 9.0)]
+    rows += [(1, 2, 1, "assistant", "a", 1.0)] * 3 + [(1, 1, None, "user", "q", 1.0), (1, 3, 1, "user", "b", 1.5)]
+    rows += [(None, 5, 77, "user", "alone", None), (None, 5, 77, "user", "alone", None)]
+    messages = spark.createDataFrame(rows, "conv_id bigint, node bigint, parent bigint, role string, text string, score double")
+    messages = messages.withColumns({c: F.lit("clash") for c in ("n", "c", "to", "total", "place", "up", "leaf")})
+    found = {
+        (r["conv_id"], r["leaf"]): (r["branch_score"], [tuple(t) for t in r["turns"]])
+        for r in chat.format_branches(messages, 5).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
+    }
+    assert found == {
+        (1, 2): (2.0, [("user", "q"), ("assistant", "a")]), (1, 3): (2.5, [("user", "q"), ("assistant", "b")]),
+        (None, 5): (0.0, [("user", "alone")]),
+    }
+    cycle = spark.createDataFrame([(1, 1, 2, "u", "t", 0.0), (1, 2, 1, "u", "t", 0.0)], "conv_id bigint, node bigint, parent bigint, role string, text string, score double")
+    with pytest.raises(ValueError, match="cycle"):
+        chat.format_branches(cycle).collect()
+
+
 def test_pipeline(spark, sf_small, texts):
     """Every document of the result passed each stage by its plain definition, and none that did is missing."""
     import corpus_pipeline
 
-    docs = table(spark, sf_small, "documents")
-    judged = {r["doc_id"]: r["kept"] for r in quality.assess(docs).collect()}
-    left = {i: t for i, t in texts.items() if judged[i]}
+    left = brute_quality(duckdb.sql(f"select doc_id, text, source from '{sf_small}/documents.parquet'").fetchall())
     left = {i: t for i, t in left.items() if brute_components(left)[i][1] == i} if len(left) < 40 else keep_first(left)
     items = duckdb.sql(f"select text from '{sf_small}/benchmark.parquet'").fetchall()
     left = {i: t for i, t in left.items() if not brute_contaminated(t, [x for x, in items])}
@@ -388,6 +529,46 @@ def test_pipeline(spark, sf_small, texts):
     assert set(found) == set(left)
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Nulls, repeated rows, other columns with clashing names; then no rows at all."""
+    import corpus_pipeline
+
+    body = " ".join(f"word{k}x{k * k}" for k in range(120))
+    rows = [*EDGES, (20, body, "en", "a", 1), (21, body + " more", "en", "a", 1), (20, body, "en", "a", 1), (None, body[::-1], None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in CLASHING})
+    for name, given, ids in (("some", docs, {7, 20, None}), ("none", docs.limit(0), set())):
+        path = str(tmp_path / name)
+        given.write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame([], "item_id string, text string").write.parquet(f"{path}/benchmark.parquet")
+        left = given
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            stage(spark, left, path).write.parquet(f"{path}/{k}")
+            left = spark.read.parquet(f"{path}/{k}")
+            assert left.columns == docs.columns
+        assert {r["doc_id"] for r in left.collect()} == ids
+        assert {r["doc_id"] for r in corpus_pipeline.run(spark, path).collect()} == ids
+
+
+def brute_quality(rows):
+    """doc_id to the text that is left, by the definition of the rules."""
+    normal = lambda line: " ".join(re.sub("[0-9]+", "0", line.lower()).split())
+    of_host, of_line = defaultdict(set), defaultdict(set)
+    for _, t, host in rows:
+        of_host[host].add(t or "")
+        for line in (t or "").split("\n"):
+            of_line[host, normal(line)].add(t or "")
+    left = {}
+    for i, t, host in rows:
+        words = WORD.findall(t or "")
+        lines = (t or "").split("\n")
+        common = lambda x: normal(x) and len(of_line[host, normal(x)]) > max(20, 0.01 * len(of_host[host]))
+        kept = [x for x in lines if not common(x)]
+        enough = len(words) >= 50 and 100 * brute_repeats(words) <= 50 * len(words)
+        if enough and sum(len(WORD.findall(x)) for x in kept) >= 0.3 * len(words):
+            left[i] = "\n".join(kept)
+    return left
+
+
 def keep_first(texts):
     classes = brute_components(texts)
     return {i: t for i, t in texts.items() if classes[i][1] == i}

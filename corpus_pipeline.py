@@ -20,7 +20,7 @@ from tidemark.session import work_dir  # noqa: E402
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, whole."""
+    """Documents that the quality rules keep, without their boilerplate lines."""
     return quality.keep(docs)
 
 
@@ -57,9 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("bigint"), "text", "lang", "source", F.col("n_chars").cast("bigint")
-    )
+    """The pieces of the documents that are left, as ``packing`` returns them.
+
+    Documents without a text fail the quality rules. Rows without a doc_id are copies of nothing and
+    stay if the rules keep them; rows of one doc_id stay or go as copies together. Columns beside
+    those of ``documents`` are kept up to the last stage. Empty tables give an empty result.
+    """
+    docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     for _, stage in STAGES:
         path = work_dir(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -147,3 +147,36 @@ def test_first_never_exceeds_final(spark, sf_small):
     first = pages.first_counts().withColumnRenamed("view_count", "first")
     both = first.join(pages.final_counts(), ["url", "window_end"], "left")
     assert both.where(F.col("view_count").isNull() | (F.col("first") > F.col("view_count"))).count() == 0
+
+
+def test_a_busy_stretch_is_looked_up_in_slices(spark):
+    """Nearly all rows ask for the same stretch; each slice of them has a copy of its list."""
+    raw = [(0, 0, 1_700_000_004_000), (1, 0, 1_700_000_003_000), (2, 0, 1_700_000_004_999)]
+    raw += [(3 + k // 7, k, 1_699_000_000_000 + k) for k in range(700)] + [(500, 0, 1_700_000_030_000), (501, 0, 0)]
+    df = spark.createDataFrame(raw, "arrival bigint, id bigint, at bigint").withColumn("ts", F.timestamp_millis("at"))
+    expected = {(a, i): m for (a, i, _), m in zip(raw, running_max([((a, i), t) for a, i, t in raw]))}
+    for limits in (LookupLimits(rows_per_task=20), LookupLimits()):
+        clock = RunningMax(df, ["arrival", "id"], 5_000, limits=limits)
+        assert {(r.arrival, r.id): r.running_max_ms for r in clock.sharpen(clock.attach(df)).collect()} == expected
+
+
+@pytest.mark.parametrize("at_most", [None, 1_000])
+def test_first_and_final_counts_in_one_pass(spark, at_most):
+    rng = random.Random(12)
+    rows = [(i, rng.choice(["/a", "/b"]), 1_700_000_000_000 + i * 300 - rng.randrange(0, 100_000)) for i in range(300)]
+    pages = LatePages(log(spark, rows), ["arrival"], Sliding(10_000, 5_000), at_most=at_most)
+    both = pages.firings()
+    first = both.where("first_count > 0").select("url", "window_end", F.col("first_count").alias("view_count"))
+    assert as_counter(first, "url") == expected_counts(rows, 5_000, 10_000, 5_000)
+    assert as_counter(both.select("url", "window_end", "view_count"), "url") == expected_counts(rows, 65_000, 10_000, 5_000)
+    assert both.where("first_count > view_count").count() == 0
+
+
+def test_packed_arrivals_are_in_the_order_of_their_columns(spark):
+    values = [-(2**40), -1, 0, 1, 1_700_000_000_000]
+    ids = [-(2**63), -1, 0, 2**63 - 1]
+    raw = [(a, i, 0) for a in values for i in ids]
+    df = spark.createDataFrame(raw, "arrival bigint, id bigint, at bigint").withColumn("ts", F.timestamp_millis("at"))
+    packed = df.select("arrival", "id", RunningMax(df, ["arrival", "id"], 1)._order().alias("o")).orderBy("o").collect()
+    assert [(r.arrival, r.id) for r in packed] == [(a, i) for a, i, _ in raw]
+    assert len({r.o for r in packed}) == len(raw)

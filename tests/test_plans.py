@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tidemark.operators import counts, distinct
+from tidemark.operators.lateness import RunningMax
 from tidemark.plans import registry, views
 
 QUERIES = entry_points.queries()
@@ -53,3 +54,13 @@ def test_log_rows_are_not_shuffled_to_find_the_running_maximum(plans):
     text = plans["page_counts_final"]
     assert "BroadcastHashJoin LeftOuter BuildRight" in text
     assert "SortMergeJoin" not in text
+
+
+def test_first_arrivals_are_found_without_a_sort_of_the_rows(spark, sf_small):
+    rows = views.arrival_events(spark, sf_small)
+    text = plan(RunningMax(rows, ["arrival_key", "event_id"], 5_000, at_most=1).marks)
+    assert "HashAggregate" in text and "Sort" not in text
+
+
+def test_bitmaps_and_sketches_are_merged_by_pane(plans):
+    assert "bitmap_or_agg" in plans["uv_sliding_bitmap"] and "hll_union_agg" in plans["uv_sliding_sketch"]

@@ -68,7 +68,8 @@ class RunningMax:
 
     ``arrival`` names the columns whose ascending order is the arrival order, a LONG epoch
     in milliseconds first; together they must be unique. ``granularity_ms`` is the precision
-    of the result, which is rounded down to a multiple of it.
+    of the result, which is rounded down to a multiple of it. ``at_most``, where it is known, is
+    the number of rows: of an input that fits a task nothing is written or counted to look for skew.
     """
 
     def __init__(
@@ -79,6 +80,7 @@ class RunningMax:
         ts: str = "ts",
         bucket_ms: int = BUCKET_MS,
         limits: LookupLimits = LookupLimits(),
+        at_most: int | None = None,
     ) -> None:
         self.rows = rows
         self.arrival = arrival
@@ -86,6 +88,7 @@ class RunningMax:
         self.ts = ts
         self.bucket_ms = bucket_ms
         self.limits = limits
+        self.small = at_most is not None and at_most <= limits.rows_per_task
 
     def _bucket(self) -> Column:
         return floor_div(F.col(self.arrival[0]), self.bucket_ms)
@@ -110,15 +113,15 @@ class RunningMax:
 
         Read several times, so it is written out once.
         """
-        return materialize(
+        marks = (
             self.rows.where(F.col(self.ts).isNotNull())
             .groupBy(
                 self._bucket().alias("bucket"),
                 floor_div(epoch_ms(F.col(self.ts)), self.granularity_ms).alias("cell"),
             )
-            .agg(F.min(self._order()).alias("seen"), F.count("*").alias("n")),
-            "arrival-marks",
+            .agg(F.min(self._order()).alias("seen"), F.count("*").alias("n"))
         )
+        return marks if self.small else materialize(marks, "arrival-marks")
 
     @cached_property
     def buckets(self) -> DataFrame:
@@ -246,7 +249,7 @@ class RunningMax:
         every larger one, so each list is short however many rows are behind it. A stretch that
         many rows ask for is cut into slices of bounded size, each with its own copy of the list.
         """
-        rows = materialize(rows.withColumn("__cell", floor_div(F.col(name), self.granularity_ms)), "late-rows")
+        rows = rows.withColumn("__cell", floor_div(F.col(name), self.granularity_ms))
         value = epoch_ms(F.col(self.ts))
         larger = Window.partitionBy("__cell").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
         lists = (
@@ -259,6 +262,11 @@ class RunningMax:
             .groupBy("__cell")
             .agg(F.collect_list(F.struct("seen", "at")).alias("__marks"))
         )
+        here = self._order()
+        passed = F.array_max(F.transform(F.filter("__marks", lambda m: m["seen"] < here), lambda m: m["at"]))
+        if self.small:
+            return rows.join(lists, "__cell", "left").withColumn(name, passed).drop("__cell", "__marks")
+        rows = materialize(rows, "late-rows")
         # Busy stretches only: at most one entry per ``rows_per_task`` of the rows.
         slices = F.broadcast(
             rows.groupBy("__cell")
@@ -270,14 +278,12 @@ class RunningMax:
         copies = lists.join(slices, "__cell", "left").withColumn(
             "__slice", F.explode(F.sequence(zero, F.coalesce("__slices", F.lit(1)) - 1))
         )
-        here = self._order()
-        passed = F.filter("__marks", lambda m: m["seen"] < here)
         return (
             rows.join(slices, "__cell", "left")
             .withColumn("__slice", F.coalesce(F.pmod(F.xxhash64(*self.arrival), F.col("__slices")), zero))
             .drop("__slices")
             .join(copies.drop("__slices"), ["__cell", "__slice"], "left")
-            .withColumn(name, F.array_max(F.transform(passed, lambda m: m["at"])))
+            .withColumn(name, passed)
             .drop("__cell", "__slice", "__marks")
         )
 
@@ -285,7 +291,8 @@ class RunningMax:
 class LatePages:
     """Page counts over disordered access-log rows, with first and final results and late rows.
 
-    ``before_ms`` is the newest event time among rows that came before all of ``log``, if any did.
+    ``before_ms`` is the newest event time among rows that came before all of ``log``, if any did;
+    ``at_most`` the number of rows, if it is known.
     """
 
     def __init__(
@@ -296,6 +303,7 @@ class LatePages:
         lateness: Lateness = Lateness(),
         limits: LookupLimits = LookupLimits(),
         before_ms: int | None = None,
+        at_most: int | None = None,
     ) -> None:
         self.log = log
         self.arrival = arrival
@@ -303,6 +311,7 @@ class LatePages:
         self.lateness = lateness
         self.limits = limits
         self.before_ms = before_ms
+        self.at_most = at_most
 
     @property
     def granularity_ms(self) -> int:
@@ -311,7 +320,7 @@ class LatePages:
 
     @cached_property
     def clock(self) -> RunningMax:
-        return RunningMax(self.log, self.arrival, self.granularity_ms, limits=self.limits)
+        return RunningMax(self.log, self.arrival, self.granularity_ms, limits=self.limits, at_most=self.at_most)
 
     @cached_property
     def requests(self) -> DataFrame:

@@ -41,12 +41,12 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.option("maxFilesPerTrigger", 1).parquet(landed)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, files: int = FILES_A_BATCH) -> DataFrame:
     """A stream of the events in order, several files a batch."""
     events = views.raw_events(spark, sf_dir).withColumn("order", F.unix_micros(F.col("ts").cast("timestamp")))
     landed = land_in_order(events, "order", work_dir(spark, "events"), _files(spark, sf_dir))
     reader = configure(streaming_session(spark)).readStream.schema(views.EVENTS).option("recursiveFileLookup", True)
-    return views.event_columns(reader.option("maxFilesPerTrigger", FILES_A_BATCH).parquet(landed))
+    return views.event_columns(reader.option("maxFilesPerTrigger", files).parquet(landed))
 
 
 def _to_the_end(results: jobs.WindowResults) -> DataFrame:
@@ -89,38 +89,42 @@ def uv_hourly_bitmap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visitors.current()
 
 
-def _in_order(spark: SparkSession, sf_dir: str) -> jobs.PageFirings:
-    """The rows as they are in the table, whose event times never fall."""
-    out, checkpoint = _paths(spark, "hot-pages")
-    pages = jobs.PageFirings(spark, out, ["order", "event_id"])
-    events = _events(spark, sf_dir)
-    log = events.select("event_id", F.unix_millis("ts").alias("order"), *views.access_log_fields())
-    pages.start(log, checkpoint, once=True).awaitTermination()
-    pages.finish()
-    return pages
+# Runs of a job that several queries ask about, by application and tables.
+_RUNS: dict[tuple[str, ...], jobs.PageFirings] = {}
 
 
-def page_view_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _in_order(spark, sf_dir).counts().select("url", "window_end", "view_count")
+def _run_once(spark: SparkSession, sf_dir: str, name: str, arrival: list[str], log: Callable[[], DataFrame]) -> jobs.PageFirings:
+    run = spark.sparkContext.applicationId, sf_dir, name
+    if run not in _RUNS:
+        out, checkpoint = _paths(spark, name)
+        pages = jobs.PageFirings(spark, out, arrival)
+        pages.start(log(), checkpoint, once=True).awaitTermination()
+        pages.finish()
+        _RUNS[run] = pages
+    return _RUNS[run]
 
 
-def hot_pages_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _in_order(spark, sf_dir).current_ranking()
+def _in_order(spark: SparkSession, sf_dir: str) -> jobs.PageFirings:
+    """The rows as they are in the table, whose event times never fall; a third of the files a batch."""
 
+    def log() -> DataFrame:
+        events = _events(spark, sf_dir, _files(spark, sf_dir) // 3)
+        return events.select("event_id", F.unix_millis("ts").alias("order"), *views.access_log_fields())
 
-# Runs of the job over disordered arrivals, which several queries ask about.
-_RUNS: dict[tuple[str, str], jobs.PageFirings] = {}
+    return _run_once(spark, sf_dir, "hot-pages", ["order", "event_id"], log)
 
 
 def _firings(spark: SparkSession, sf_dir: str) -> jobs.PageFirings:
-    run = spark.sparkContext.applicationId, sf_dir
-    if run not in _RUNS:
-        out, checkpoint = _paths(spark, "late-pages")
-        pages = jobs.PageFirings(spark, out, ["arrival_key", "event_id"])
-        pages.start(_arrivals(spark, sf_dir), checkpoint, once=True).awaitTermination()
-        pages.finish()
-        _RUNS[run] = pages
-    return _RUNS[run]
+    """The rows out of order, one file a batch."""
+    return _run_once(spark, sf_dir, "late-pages", ["arrival_key", "event_id"], lambda: _arrivals(spark, sf_dir))
+
+
+def page_view_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_order(spark, sf_dir).counts().select("url", "window_end", "view_count")
+
+
+def hot_pages_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_order(spark, sf_dir).current_ranking()
 
 
 def late_page_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +197,8 @@ def hot_pages_report_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_counts_from_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines are judged for lateness by their place in the files, which are in order here."""
     out, checkpoint = _paths(spark, "file-pages")
-    log = stream_access_log(streaming_session(spark), _log_files(spark, sf_dir), max_files=FILES_A_BATCH, arrival=True)
+    landed = _log_files(spark, sf_dir)
+    log = stream_access_log(streaming_session(spark), landed, max_files=_files(spark, sf_dir) // 3, arrival=True)
     pages = jobs.PageFirings(spark, out)
     pages.start(log, checkpoint, once=True).awaitTermination()
     return pages.counts().select("url", "window_end", "view_count")

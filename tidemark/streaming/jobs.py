@@ -229,11 +229,9 @@ class PageFirings:
     (``stream_access_log`` with ``arrival=True``).
     """
 
-    CLOCK = StructType([StructField("newest_ms", LongType())])
     COUNTS = StructType(
         [StructField("url", StringType()), *(StructField(c, LongType()) for c in ("window_end", "first_count", "view_count"))]
     )
-    REVISIONS = StructType([StructField("window_end", LongType()), StructField("revision", LongType())])
     RANKINGS = ranking_schema("url", StringType(), StructField("revision", LongType()))
     # A repeated batch looks up the one before it.
     KEEP = 2
@@ -257,27 +255,18 @@ class PageFirings:
         self.limits = limits
         rows = [*ACCESS_LOG.fields, *(StructField(c, LongType()) for c in self.arrival)]
         count = {"first_count": "sum", "view_count": "sum"}
-        window = ("window_end",)
         self.input = BatchTable(spark, f"{out}/input", StructType(rows), fanout, keep=self.KEEP)
         self.late = BatchTable(spark, f"{out}/late", StructType([*rows, StructField("running_max_ms", LongType())]), fanout)
         self.open = KeyedTable(spark, f"{out}/open", self.COUNTS, Keys(("url", "window_end"), count, "window_end"), fanout)
         self.closed = BatchTable(spark, f"{out}/closed", self.COUNTS, fanout)
-        self.revisions = KeyedTable(
-            spark, f"{out}/revisions", self.REVISIONS, Keys(window, {"revision": "max"}, "window_end"), fanout
-        )
         self.rankings = BatchTable(spark, f"{out}/rankings", self.RANKINGS, fanout)
-        self.clock = BatchTable(spark, f"{out}/clock", self.CLOCK, fanout, keep=self.KEEP)
 
     def start(self, log: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         return for_each_batch(log, self.apply, checkpoint, once=once)
 
     def _newest(self, batch_id: int) -> int | None:
-        """The clock after a batch; null before any row with a time."""
-        if batch_id < 0:
-            return None
-        if batch_id > self.clock.manifest().last:
-            raise ValueError(f"the clock of batch {batch_id} is missing")
-        return self.clock.read_batches([batch_id]).first()["newest_ms"]
+        """The clock after a batch, noted with its closed windows; null before any row with a time."""
+        return self.closed.note(batch_id) if batch_id >= 0 else None
 
     def _passed(self, wait_ms: int, clock: int | None):
         """Windows whose end and ``wait_ms`` the clock has passed."""
@@ -287,15 +276,14 @@ class PageFirings:
         before = self._newest(batch_id - 1)
         if before is not None:
             # What was final before this batch, so that repeating it finds the same windows.
-            for table in (self.open, self.revisions):
-                table.expire(before - self.lateness.closing_ms)
+            self.open.expire(before - self.lateness.closing_ms)
         # The source is read once; everything below reads this copy.
         self.input.write(number_arrivals(batch, self.arrival[0]) if self.numbered else batch, batch_id)
         rows = self.input.read_batches([batch_id]).drop("batch_id")
-        newest = rows.agg(F.greatest(F.max(epoch_ms(F.col("ts"))), F.lit(before).cast("bigint")).alias("newest_ms"))
-        after = newest.first()["newest_ms"]
+        seen = rows.agg(F.max(epoch_ms(F.col("ts"))).alias("newest"), F.count("*").alias("n")).first()
+        after = max((t for t in (before, seen["newest"]) if t is not None), default=None)
 
-        pages = LatePages(rows, self.arrival, self.spec, self.lateness, self.limits, before)
+        pages = LatePages(rows, self.arrival, self.spec, self.lateness, self.limits, before, seen["n"])
         self.late.write(pages.late_rows(), batch_id)
         self.open.write(pages.firings(), batch_id)
         counts = self.open.read()
@@ -307,19 +295,20 @@ class PageFirings:
             .select("window_end")
             .distinct()
         )
-        earlier = self.revisions.read_before(batch_id).select("window_end", F.col("revision").alias("done"))
-        numbers = revised.join(earlier, "window_end", "left").select(
+        # Of earlier rankings those of windows that can still change; the rest is skipped by its statistics.
+        earlier = self.rankings.read_before(batch_id)
+        if before is not None:
+            earlier = earlier.where(F.col("window_end") > before - self.lateness.closing_ms)
+        done = earlier.groupBy("window_end").agg(F.max("revision").alias("done"))
+        numbers = revised.join(done, "window_end", "left").select(
             "window_end", (F.coalesce("done", F.lit(0).cast("bigint")) + 1).alias("revision")
         )
-        self.revisions.write(numbers, batch_id)
-        numbers = self.revisions.read_batches([batch_id]).drop("batch_id")
         first = self._first_ranking(counts.where(fired & ~fired_before))
-        revision = top_n(counts.join(numbers, "window_end", "left_semi"), self.n, "url").join(numbers, "window_end")
+        revision = top_n(counts.join(revised, "window_end", "left_semi"), self.n, "url").join(numbers, "window_end")
         self.rankings.write(first.unionByName(revision), batch_id)
-        self.closed.write(
-            counts.where(self._passed(self.lateness.closing_ms, after) & ~self._passed(self.lateness.closing_ms, before)), batch_id
-        )
-        self.clock.write(newest, batch_id)
+        final = self._passed(self.lateness.closing_ms, after) & ~self._passed(self.lateness.closing_ms, before)
+        # The last write of the batch: with it the clock moves on.
+        self.closed.write(counts.where(final), batch_id, after)
 
     def _first_ranking(self, counts: DataFrame) -> DataFrame:
         first = counts.select("url", "window_end", F.col("first_count").alias("view_count")).where("view_count > 0")
@@ -330,13 +319,13 @@ class PageFirings:
 
         These rankings are provisional: if more input follows, they are withdrawn with its first batch.
         """
-        last = self.clock.manifest().last
+        last = self.closed.manifest().last
         pending = self.open.read().where(~self._passed(self.lateness.disorder_ms, self._newest(last)))
         self.rankings.write_provisional(self._first_ranking(pending), last)
 
     def counts(self) -> DataFrame:
         """Requests per (URL, window) so far: ``first_count`` for its firing, ``view_count`` with those after it."""
-        newest = self._newest(self.clock.manifest().last)
+        newest = self._newest(self.closed.manifest().last)
         still_open = self.open.read().where(~self._passed(self.lateness.closing_ms, newest))
         return self.closed.read().unionByName(still_open).drop("batch_id")
 

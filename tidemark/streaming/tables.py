@@ -23,6 +23,8 @@ FANOUT = 16
 FILE_BYTES = 128 << 20
 # Versions of the manifest that are kept, with the data they name, for readers that began with them.
 KEPT_VERSIONS = 4
+# Batches whose notes are kept: a repeated batch looks up the one before it.
+KEPT_NOTES = 3
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,8 @@ class Manifest:
     # Rows that hold until the next batch is written, and the batch they follow.
     provisional: Entry | None = None
     horizon: int | None = None
+    # What the newest batches noted beside their rows: (batch, value).
+    notes: tuple[tuple[int, int | None], ...] = ()
     # Folders no longer named, with the version that dropped them.
     retired: tuple[tuple[str, int], ...] = ()
 
@@ -60,6 +64,7 @@ class Manifest:
             tuple(Entry(**e) for e in raw["entries"]),
             Entry(**raw["provisional"]) if raw["provisional"] else None,
             raw["horizon"],
+            tuple((b, v) for b, v in raw["notes"]),
             tuple((f, v) for f, v in raw["retired"]),
         )
 
@@ -128,7 +133,8 @@ class BatchTable:
         rows.select(*self.schema.fieldNames(), "batch_id").write.parquet(f"{self.path}/{folder}")
         return folder
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
+    def write(self, rows: DataFrame, batch_id: int, note: int | None = None) -> None:
+        """Make ``rows`` those of the batch. A ``note`` becomes visible together with them."""
         now = self.manifest()
         if batch_id > now.last + 1:
             raise ValueError(f"{self.path}: batch {batch_id} comes after {now.last}, those between are missing")
@@ -140,8 +146,9 @@ class BatchTable:
         if self.keep is not None:
             entries = [e for e in entries if e.last > max(now.last, batch_id) - self.keep]
         entries.sort(key=lambda e: e.first)
+        notes = (*(n for n in now.notes if batch_id - KEPT_NOTES < n[0] < batch_id), (batch_id, note))
         # Provisional rows held until this batch.
-        now = self._commit(now, replace(now, entries=tuple(entries), provisional=None))
+        now = self._commit(now, replace(now, entries=tuple(entries), notes=notes, provisional=None))
         while merging := due_for_merging(now.entries, self.fanout):
             now = self._merge(now, merging)
 
@@ -176,6 +183,13 @@ class BatchTable:
 
     # Reading.
 
+    def note(self, batch_id: int) -> int | None:
+        """What a batch noted; an error if it is not among the newest."""
+        notes = dict(self.manifest().notes)
+        if batch_id not in notes:
+            raise ValueError(f"{self.path}: batch {batch_id} is missing, there are {sorted(notes)}")
+        return notes[batch_id]
+
     def _load(self, entries: Iterable[Entry]) -> DataFrame:
         with_batch = StructType([*self.schema.fields, StructField("batch_id", LongType())])
         folders = [f"{self.path}/{e.folder}" for e in entries]

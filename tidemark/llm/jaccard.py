@@ -2,7 +2,8 @@
 
 A document's set is its distinct word shingles. The global order of the shingles is cut into
 fragments, so that a set becomes short segments; the overlap of a pair is counted in each
-fragment separately and summed per pair. Candidates come from prefixes in the global order.
+fragment separately and summed per pair. Candidates come from prefixes in the global order,
+which puts shingles of many sets last, by classes of their number.
 The result is the connected components of the links, so a pair is tested only while its two
 sets are in different components: groups of near copies cost one test for each member.
 """
@@ -10,6 +11,7 @@ sets are in different components: groups of near copies cost one test for each m
 from __future__ import annotations
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +23,11 @@ SHINGLE = 3
 #: Two sets link when 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 90
 FRAGMENTS = 8
-#: Shingles in more sets than this come last in the global order.
-COMMON = 50
+#: The global order knows the shingles of the most sets, at most so many of them (2 MB); where
+#: more shingles are in two sets or more, the rarer ones count as alike and go by their hash.
+RANKED = 250_000
+#: Most sets whose ids are sent to every task (8 MB).
+LISTED = 1_000_000
 #: Words of 64 bits in a set's bitmap.
 BITMAP = 8
 #: Sets of a shingle that are tested against all others in the first round; four times as many each round.
@@ -84,42 +89,82 @@ def shingle_sets(docs: DataFrame, similarity: int) -> DataFrame:
     return map_batches(columns, run, schema)
 
 
-def segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
+def rarity(sets: DataFrame, limit: int = RANKED) -> Broadcast:
+    """(shingles in ascending order, their classes): 1 + log2 of the number of sets, for the most frequent ones.
+
+    Any order of the shingles gives the same links; this one makes prefixes rare. Classes are
+    taken in from the most frequent one down, as long as the table stays within ``limit``.
+    """
+    counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
+    classed = materialize(counts.select("s", F.floor(F.log2("sets")).cast("byte").alias("class")), "shingle-classes")
+    sizes = {r["class"]: r["n"] for r in classed.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    lowest, total = 127, 0
+    for k in sorted(sizes, reverse=True):
+        total += sizes[k]
+        if total > limit:
+            break
+        lowest = k
+    # At most ``limit`` rows, whatever the corpus.
+    held = classed.where(F.col("class") >= lowest).toArrow()
+    members, classes = held["s"].to_numpy(), held["class"].to_numpy()
+    order = np.argsort(members)
+    return sets.sparkSession.sparkContext.broadcast((members[order], classes[order]))
+
+
+def in_order(members: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, members) by class and hash, the global order."""
+    shingles_, classes = known
+    at = np.searchsorted(shingles_, members)
+    at[at == len(shingles_)] = 0
+    found = np.zeros(len(members), np.int8)
+    if len(shingles_):
+        hit = shingles_[at] == members
+        found[hit] = classes[at[hit]]
+    order = np.lexsort((members, found))
+    return found[order], members[order]
+
+
+def segments(sets: DataFrame, fragments: int, similarity: int) -> tuple[DataFrame, DataFrame]:
     """(segments, prefixes): the sets cut by fragments of the global order, and their prefixes.
 
-    The order puts shingles that are in many sets last, by their number, and the others by hash.
+    Half of the fragments are ranges of hashes of the rare shingles, half of those in a class.
     A set's prefix is so long that two linked sets share a member of their prefixes.
     """
-    bits = sets.select("doc_id", F.struct(*[F.col("bitmap")[k].alias(f"b{k}") for k in range(BITMAP)]).alias("bits"))
-    members = sets.select("doc_id", "n", F.explode("shingles").alias("s"))
-    common = materialize(
-        members.groupBy("s").agg(F.count("*").alias("sets")).where(F.col("sets") > COMMON), "common-shingles"
-    )
-    placed = members.join(common, "s", "left").select(
-        "doc_id", "n", F.struct(F.coalesce("sets", F.lit(0)).alias("sets"), "s").alias("place")
-    )
-    ordered = placed.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list("place")).alias("order"))
-    ordered = materialize(ordered, "ordered-sets")
-    # Cuts of the order. Common shingles and the others are cut apart, by ranges of their hashes.
-    width = 2**64 // fragments
-    place = F.floor(F.col("p.s") / F.lit(float(width))).cast("int") + F.lit(fragments // 2)
-    cut = (
-        ordered.select("doc_id", "n", F.explode("order").alias("p"))
-        .withColumn("fragment", F.when(F.col("p.sets") > 0, F.lit(fragments) + place).otherwise(place))
-        .groupBy("doc_id", "fragment")
-        .agg(F.collect_list("p.s").alias("segment"))
-    )
-    length = F.col("n") - F.ceil(SIMILARITY * F.col("n") / 100).cast("bigint") + 1
-    prefixes = ordered.select(
-        "doc_id", "n", F.explode(F.slice("order", F.lit(1), F.least(length.cast("int"), F.size("order")))).alias("p")
-    ).select("doc_id", "n", F.col("p.s").alias("s"))
+    order = rarity(sets)
+    width = 2**64 // (fragments // 2)
+
+    def run(rows: dict) -> dict:
+        out = {k: [] for k in ("doc_id", "n", "bitmap", "prefix", "cut")}
+        for doc_id, n, bits, members in zip(*(rows[k] for k in ("doc_id", "n", "bitmap", "shingles"))):
+            classes, ranked = in_order(np.array(members, np.int64), order.value)
+            out["doc_id"].append(doc_id)
+            out["n"].append(n)
+            out["bitmap"].append(bits)
+            out["prefix"].append(ranked[: n - -(-similarity * n // 100) + 1])
+            place = np.minimum((ranked.view(np.uint64) // np.uint64(width)).astype(np.int64), fragments // 2 - 1)
+            place += np.where(classes > 0, fragments // 2, 0)
+            at = np.argsort(place, kind="stable")
+            ends = np.searchsorted(place[at], np.arange(fragments + 1))
+            out["cut"].append([ranked[at][a:b].tolist() for a, b in zip(ends, ends[1:])])
+        return out
+
+    schema = "doc_id bigint, n bigint, bitmap array<bigint>, prefix array<bigint>, cut array<array<bigint>>"
+    ordered = materialize(map_batches(sets.select("doc_id", "n", "bitmap", "shingles"), run, schema), "ordered-sets")
+    cut = ordered.select("doc_id", F.posexplode("cut").alias("fragment", "segment")).where(F.size("segment") > 0)
+    bits = ordered.select("doc_id", F.struct(*[F.col("bitmap")[k].alias(f"b{k}") for k in range(BITMAP)]).alias("bits"))
+    prefixes = ordered.select("doc_id", "n", F.explode("prefix").alias("s"))
     # Most prefix shingles are in one set only; the others get the set's bitmap.
-    shared = prefixes.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1").select("s")
-    return materialize(cut, "segments"), prefixes.join(shared, "s").join(bits, "doc_id")
+    shared = prefixes.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
+    return cut, prefixes.join(shared, "s").join(bits, "doc_id")
 
 
 def links(pairs: DataFrame, cut: DataFrame, similarity: int) -> DataFrame:
     """Those of ``pairs`` (a, b, na, nb) that link: overlaps by fragment, summed per pair."""
+    pairs = materialize(pairs, "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # Sets of no pair are not shuffled, as long as the list of those that are can be sent around.
+    if needed.count() <= LISTED:
+        cut = cut.join(F.broadcast(needed), "doc_id", "left_semi")
     left = cut.select(F.col("doc_id").alias("a"), "fragment", F.col("segment").alias("sa"))
     right = cut.select(F.col("doc_id").alias("b"), "fragment", F.col("segment").alias("sb"))
     partial = (
@@ -161,33 +206,46 @@ def components(edges: DataFrame) -> DataFrame:
 def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFrame:
     """(node, component) of all sets that have a link.
 
-    First every set is tested against the smallest set of each of its prefix shingles. What
-    stays in different components of a shingle is then tested: all sets outside the shingle's
-    largest component serve as pivots against the sets of other components, few at first
-    and more in each round, as links found meanwhile make further tests unnecessary. The joins
-    that make pairs compare the bitmaps, so pairs that cannot link leave no task.
+    First every set is tested against the smallest set of one shingle, that of its prefix which is in
+    most sets: a group of near copies comes together by one test for each. Then every set is
+    tested against the smallest set of its other shingles, as far as it is in another component.
+    What stays in different components of a shingle is tested last: all sets outside the
+    shingle's largest component serve as pivots against the sets of other components, few at
+    first and more in each round, as links found meanwhile make further tests unnecessary. The
+    joins that make pairs compare the bitmaps, so pairs that cannot link leave no task.
     """
     prefixes = materialize(prefixes, "prefixes")
     head = prefixes.groupBy("s").agg(F.min(F.struct("doc_id", "n", "bits")).alias("h"))
-    head = head.select("s", F.col("h.doc_id").alias("a"), F.col("h.n").alias("nx"), F.col("h.bits").alias("bitsx"))
-    pairs = (
-        prefixes.join(head, "s")
-        .where((F.col("a") != F.col("doc_id")) & near("", "x", similarity))
-        .select("a", F.col("doc_id").alias("b"), F.col("nx").alias("na"), F.col("n").alias("nb"))
-        .distinct()
-    )
-    edges = materialize(links(pairs, cut, similarity), "links")
+    head = materialize(head.select("s", F.col("h.doc_id").alias("a"), F.col("h.n").alias("nx"), F.col("h.bits").alias("bitsx")), "heads")
+
+    def with_heads(rows: DataFrame) -> DataFrame:
+        found = rows.join(head, "s").where((F.col("a") != F.col("doc_id")) & near("", "x", similarity))
+        return found.select("a", F.col("doc_id").alias("b"), F.col("nx").alias("na"), F.col("n").alias("nb"))
+
+    widest = prefixes.groupBy("doc_id").agg(F.max(F.struct("sets", "s")).alias("w")).select("doc_id", F.col("w.s").alias("s"))
+    edges = materialize(links(with_heads(prefixes.join(widest, ["doc_id", "s"])).distinct(), cut, similarity), "links")
     found = materialize(components(edges), "components")
+
+    def named(rows: DataFrame) -> DataFrame:
+        """``rows`` with the component ``c`` of their set."""
+        return rows.join(found, rows["doc_id"] == found["node"], "left").select(
+            *rows.columns, F.coalesce("component", "doc_id").alias("c")
+        )
+
+    other = with_heads(prefixes).distinct()
+    for side in ("a", "b"):
+        at = found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+        other = other.join(at, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    new = materialize(links(other.where("ca <> cb").drop("ca", "cb"), cut, similarity), "links")
+    if not new.isEmpty():
+        edges = edges.unionByName(new)
+        found = materialize(components(edges), "components")
     pivots, done = PIVOTS, None
     while True:
-        named = prefixes.join(found, prefixes["doc_id"] == found["node"], "left").select(
-            "s", "doc_id", "n", "bits", F.coalesce("component", "doc_id").alias("c")
-        )
-        sizes = named.groupBy("s", "c").agg(F.count("*").alias("size"))
+        opened = named(prefixes.select("s", "doc_id", "n", "bits"))
+        sizes = opened.groupBy("s", "c").agg(F.count("*").alias("size"))
         largest = sizes.groupBy("s").agg(F.max(F.struct("size", "c")).alias("l"), F.count("*").alias("parts")).where("parts > 1")
-        opened = materialize(
-            named.join(largest.select("s", F.col("l.c").alias("largest")), "s"), "open-shingles"
-        )
+        opened = materialize(opened.join(largest.select("s", F.col("l.c").alias("largest")), "s"), "open-shingles")
         outside = opened.where("c <> largest").select("s", "doc_id", "n", "bits", "c")
         if done is not None:
             outside = outside.join(done, ["s", "doc_id"], "left_anti")
@@ -232,7 +290,7 @@ def join(docs: DataFrame, similarity: int = SIMILARITY, fragments: int = FRAGMEN
     classes = materialize(able.groupBy("low", "high", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")), "classes")
     first = able.join(classes.select("low", "high", "n", F.col("first").alias("doc_id")), ["low", "high", "n", "doc_id"])
     first = materialize(first.select("doc_id", "n", "bitmap", "shingles").dropDuplicates(["doc_id", "n"]), "representatives")
-    found = linked_sets(*segments(first, fragments), similarity)
+    found = linked_sets(*segments(first, fragments, similarity), similarity)
     member = able.join(classes.where("size > 1"), ["low", "high", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     named = member.join(found, member["b"] == found["node"], "left").select(
         F.col("a").alias("node"), F.coalesce("component", "b").alias("component")

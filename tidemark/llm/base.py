@@ -14,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a function of ``map_batches`` sees at a time, of the 10,000 that Spark sends.
+ROWS = 1_000
+
 PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
@@ -43,11 +46,12 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function, schema: str, after=None) -> DataFrame:
     """``function`` takes a dict of Python lists (one batch) and returns a dict of columns.
 
     For row-wise work: batches are independent of each other, so the result does not depend
-    on how rows are cut into them.
+    on how rows are cut into them. ``after`` is called when a task is through, to free what the
+    worker, which goes on to other tasks, would keep.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -56,11 +60,16 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for batch in batches:
-            out = function(batch.to_pydict())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
-            )
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    out = function(batch.slice(at, ROWS).to_pydict())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
+                    )
+        finally:
+            if after is not None:
+                after()
 
     return df.mapInArrow(run, schema)
 

@@ -23,8 +23,8 @@ from tidemark.session import materialize
 
 CAPACITY = 2048
 END_ID = 1
-#: Pieces of text whose ids a worker remembers; the memory is emptied when it is full.
-MEMO = 600_000
+#: Pieces of text whose ids a task remembers; the memory is emptied when it is full.
+MEMO = 400_000
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -93,6 +93,11 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def forget_pieces() -> None:
+    for encoder in _encoders.values():
+        encoder.memo = {}
+
+
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Whole windows and one remainder of every document, with the checksum of their ids.
 
@@ -118,7 +123,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
                 out["doc_tokens"].append(n)
         return out
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), cut, PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), cut, PIECES, forget_pieces)
 
 
 def best_fill(counts: Counter, capacity: int) -> Counter:

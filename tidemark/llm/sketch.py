@@ -11,13 +11,13 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import mixed, ship
+from tidemark.session import materialize
 
 #: Rows of counters, and counters in each row for each expected hash.
 DEPTH = 2
@@ -27,7 +27,7 @@ WIDTH_FACTOR = 4
 MAX_WIDTH = 1 << 29
 BLOCK = 1 << 21
 #: Hashes a task sketches at a time.
-BUFFER = 4_000_000
+BUFFER = 1_000_000
 
 SEEDS = np.array([0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -62,14 +62,32 @@ def unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(code >> np.uint32(1), dtype=np.int64), (code & np.uint32(1)).astype(np.uint8) + np.uint8(1)
 
 
-def merge(group: pd.DataFrame) -> pd.DataFrame:
-    """Counters of one block over all partitions, as bits that say which reached two."""
-    counts = np.zeros(BLOCK, np.uint8)
-    for payload in group["payload"]:
-        at, times = unpacked(payload)
-        counts[at] = np.minimum(counts[at] + times, 2)
-    bits = zlib.compress(np.packbits(counts == 2, bitorder="little").tobytes(), 1)
-    return pd.DataFrame({"row": [group["row"].iloc[0]], "block": [group["block"].iloc[0]], "bits": [bits]})
+MERGED = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("bits", pa.binary())])
+
+
+def merge(batches):
+    """Counters of each block over all partitions, as bits that say which reached two.
+
+    The payloads of a block follow each other and are added up one by one, so memory does not
+    grow with their number.
+    """
+
+    def merged(key, counts):
+        bits = zlib.compress(np.packbits(counts == 2, bitorder="little").tobytes(), 1)
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((*key, bits), MERGED)], schema=MERGED)
+
+    key, counts = None, None
+    for batch in batches:
+        for row, block, payload in zip(*batch.columns):
+            here = row.as_py(), block.as_py()
+            if here != key:
+                if key is not None:
+                    yield merged(key, counts)
+                key, counts = here, np.zeros(BLOCK, np.uint8)
+            at, times = unpacked(payload.as_py())
+            counts[at] = np.minimum(counts[at] + times, 2)
+    if key is not None:
+        yield merged(key, counts)
 
 
 class Repeated:
@@ -127,7 +145,9 @@ def repeated(docs: DataFrame, hashes: Callable[[str], np.ndarray], expected: int
             yield flush(buffer)
 
     parts = docs.select("text").mapInArrow(sketch, "row int, block int, payload binary")
-    merged = parts.groupBy("row", "block").applyInPandas(merge, "row int, block int, bits binary")
+    in_order = parts.repartition("row", "block").sortWithinPartitions("row", "block")
+    # Written by all tasks, then read in few partitions: an iterator runs a job for each.
+    merged = materialize(in_order.mapInArrow(merge, "row int, block int, bits binary"), "sketch")
     blocks = {(r["row"], r["block"]): bytes(r["bits"]) for r in merged.toLocalIterator()}
     return spark.sparkContext.broadcast(Repeated(blocks, width))
 

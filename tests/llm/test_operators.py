@@ -366,6 +366,20 @@ def test_personal_data(spark, sf_small, texts):
         assert set(base) <= set(filter(None, found[i]["spans"].split(",")))
 
 
+def test_many_numbers_are_compared_with_their_neighbours_alone():
+    import time
+
+    def seconds(n):
+        text = " ".join(f"+1 202 555 {k % 10000:04d} x 301-555-{k % 10000:04d}" for k in range(n))
+        begin = time.perf_counter()
+        spans = pii.scan_text(text)
+        assert len(spans["extra"]) == n and spans["n_phone"] == n
+        return time.perf_counter() - begin
+
+    seconds(500)
+    assert seconds(16_000) < 16 * seconds(2_000)
+
+
 def test_masking_leaves_none(spark, sf_small, texts):
     masked = pii.redact(table(spark, sf_small, "documents")).collect()
     assert len(masked) == len(texts)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
@@ -117,12 +118,19 @@ def proposed_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[s
                 found.append(("card", *m.span()))
     if any(x in text for x in ("[at]", "(at)", " dot ", "[dot]", "(dot)")):
         found += [("email", *m.span()) for m in _written.finditer(text)]
+    # Busy spans are apart from each other and in order, so a new one has two neighbours to look at.
+    busy: list[tuple[int, int]] = []
+    for start, end in sorted((s, e) for _, s, e in taken):
+        if busy and start < busy[-1][1]:
+            busy[-1] = busy[-1][0], max(busy[-1][1], end)
+        else:
+            busy.append((start, end))
     out: list[tuple[str, int, int]] = []
-    busy = sorted((s, e) for _, s, e in taken)
     for kind, start, end in found:
-        if all(e <= start or end <= s for s, e in busy):
+        at = bisect_left(busy, (start, end))
+        if (at == 0 or busy[at - 1][1] <= start) and (at == len(busy) or end <= busy[at][0]):
             out.append((kind, start, end))
-            busy.append((start, end))
+            insort(busy, (start, end))
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -14,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import divergence, importance, queries, simhash
+from tidemark.llm import divergence, importance, queries, scoring, simhash
 
 
 def texts_of(sf_dir, name="documents", key="doc_id"):
@@ -228,3 +229,59 @@ def test_empty_tables(spark):
     assert divergence.divergence(docs).collect() == []
     one = spark.createDataFrame([(1, "w " * 30, "en", "a")], SCHEMA)
     assert [r["rank"] for r in importance.resample(one, bench).collect()] == [None]
+
+
+def backed_off(texts, held):
+    """A text's log10 probability under all n-grams of the training texts, by dictionaries; texts are (words, copies)."""
+    counts, tokens = Counter(), 0
+    for (words, copies), out in zip(texts, held):
+        if not out:
+            s = ["<s>", *words, "</s>"]
+            tokens += copies * (len(s) - 1)
+            for size in (1, 2, 3):
+                for k in range(len(s) - size + 1):
+                    counts[tuple(s[k : k + size])] += copies
+    kinds = sum(len(g) == 1 for g in counts) - (("<s>",) in counts)
+    after = {}
+    for g in counts:
+        after.setdefault(g[:-1], []).append(g)
+
+    def seen(context):
+        return counts[context] + (0.5 if len(context) == 1 and context != ("<s>",) else 0)
+
+    def p(gram):
+        if len(gram) == 1:
+            return (counts[gram] + 0.5) / (tokens + 0.5 * (kinds + 1))
+        if counts[gram]:
+            return (counts[gram] - 0.6) / seen(gram[:-1])
+        if gram[:-1] not in after:
+            return p(gram[1:])
+        arcs = after[gram[:-1]]
+        used = sum((counts[g] - 0.6) / seen(g[:-1]) for g in arcs)
+        return max(1e-12, 1 - used) / max(1e-12, 1 - sum(p(g[1:]) for g in arcs)) * p(gram[1:])
+
+    def score(words):
+        s = ["<s>", *words, "</s>"]
+        return sum(math.log10(p(tuple(s[max(0, k - 2) : k + 1]))) for k in range(1, len(s)))
+
+    return score
+
+
+@pytest.mark.parametrize("copies", (1, 150))
+def test_every_word_and_n_gram_counts_however_rare(spark, copies):
+    """Over 1.4 million tokens an n-gram that occurs once makes less than a millionth of them."""
+    rng = random.Random(5)
+    texts = [([f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(rng.randrange(60))], 1) for _ in range(150)]
+    texts += [(["rare", "words", "once"], 1), (["rare", "words", "once", "more", "w1"], 1), (["a", "b", "c"] * 3200, copies)]
+    ids, rows = range(len(texts)), [(i, " ".join(words)) for i, (words, _) in enumerate(texts)]
+    # Of ids for the copies those of training documents.
+    out = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    extra = [i for i in range(10_000, 20_000) if not out(i)][: copies - 1]
+    held = [out(i) for i in ids]
+    assert not held[-1] and held[:-1].count(True) > 10
+    docs = spark.createDataFrame(rows + [(i, rows[-1][1]) for i in extra], "doc_id bigint, text string").repartition(6)
+    found = {r["doc_id"]: r["score"] for r in scoring.score(docs).collect()}
+    expected = backed_off(texts, held)
+    assert len(found) == len(rows) + len(extra)
+    for i, (words, _) in zip(ids, texts):
+        assert found[i] == pytest.approx(expected(words), rel=1e-9), i

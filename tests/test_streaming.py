@@ -298,6 +298,15 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     assert state() == before
 
 
+def test_tables_hold_requests_by_their_windows_not_for_each_window(spark, tmp_path):
+    """A request lies in 120 windows of ten minutes every five seconds and is stored once."""
+    pages = jobs.PageFirings(spark, str(tmp_path / "pages"), ["arrival"])
+    pages.apply(log(spark, [(1, "/a", START), (2, "/a", START + 1000), (3, "/b", START + 2000)]), 0)
+    stored = [f for f in (tmp_path / "pages").glob("*/data/*") if f.parent.parent.name not in ("input", "rankings")]
+    assert sum(spark.read.parquet(str(f)).count() for f in stored) <= 3
+    assert pages.counts().agg(F.count("*"), F.sum("view_count")).first()[:] == (240, 360)
+
+
 def test_rows_without_a_time_and_empty_batches(spark, tmp_path):
     pages = jobs.PageFirings(spark, str(tmp_path / "pages"), ["arrival"], **PAGES)
     pages.apply(log(spark, [(1, "/a", START)]).where("false"), 0)

@@ -40,6 +40,8 @@ BROADCAST_STEPS = 1_000_000
 BROADCAST_STEPS_PER_BUCKET = 256
 # Rows of one arrival bucket per task when the lookup has to shuffle.
 ROWS_PER_TASK = 4_000_000
+# What is counted per (URL, window), and the column of a span in which that begins.
+FIRINGS = {"first_count": "lo_first", "view_count": "lo"}
 
 
 @dataclass(frozen=True)
@@ -356,10 +358,11 @@ class LatePages:
         )
         return span_counts(spans, ["url"], self.spec)
 
-    def firings(self) -> DataFrame:
-        """Per (URL, window) the requests of the first result and of the revised one, in one pass."""
+    def spans(self) -> DataFrame:
+        """Requests by URL and the windows that take them: those from ``lo_first`` to ``hi`` in the first result,
+        those from ``lo`` in the revised one. Requests that no window takes are left out."""
         pane = pane_of("ts", self.spec)
-        spans = (
+        return (
             self.requests.select(
                 "url",
                 self._first_open(pane, self.lateness.disorder_ms).alias("lo_first"),
@@ -370,7 +373,10 @@ class LatePages:
             .groupBy("url", "lo_first", "lo", "hi")
             .agg(F.count("*").alias("n"))
         )
-        return span_measures(spans, ["url"], self.spec, {"first_count": "lo_first", "view_count": "lo"})
+
+    def firings(self) -> DataFrame:
+        """Per (URL, window) the requests of the first result and of the revised one, in one pass."""
+        return span_measures(self.spans(), ["url"], self.spec, FIRINGS)
 
     def first_counts(self) -> DataFrame:
         """Requests per (URL, window) known when the window first fires."""

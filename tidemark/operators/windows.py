@@ -57,6 +57,10 @@ class Sliding:
     def end_ms(self, start: Column) -> Column:
         return start * self.slide_ms + self.size_ms
 
+    def last_ending_by(self, limit_ms: int) -> int:
+        """Index of the last window whose end does not lie beyond ``limit_ms``."""
+        return (limit_ms - self.size_ms) // self.slide_ms
+
 
 def tumbling(size_ms: int, ts: str = "ts") -> Column:
     """The tumbling window of a row, as a grouping column for batch and stream."""

@@ -24,9 +24,9 @@ from tidemark.operators.counts import (
     page_views,
     page_views_only,
 )
-from tidemark.operators.lateness import LatePages, Lateness, LookupLimits
+from tidemark.operators.lateness import FIRINGS, LatePages, Lateness, LookupLimits
 from tidemark.operators.topn import ranking_report, top_n
-from tidemark.operators.windows import Sliding, tumbling, window_end
+from tidemark.operators.windows import Sliding, span_counts, span_measures, tumbling, window_end
 from tidemark.schemas import ACCESS_LOG
 from tidemark.sources.lines import number_arrivals
 from tidemark.streaming.sinks import for_each_batch
@@ -224,13 +224,17 @@ class PageFirings:
     requests adds a revision of the windows they belong to, over the counts up to date. Once the
     clock passes the allowed lateness too, the window's counts are final and no longer read.
 
+    What is stored of the requests are the spans of windows that take them, one row for many
+    requests of a URL, not their windows. Each window is formed when it is ranked and when the counts are
+    read, so the tables and the work on them do not grow with size / slide.
+
     ``arrival`` names LONG columns whose ascending order is that of arrival, as for
     :class:`RunningMax`. Without it, lines count in the order of the files and in them
     (``stream_access_log`` with ``arrival=True``).
     """
 
-    COUNTS = StructType(
-        [StructField("url", StringType()), *(StructField(c, LongType()) for c in ("window_end", "first_count", "view_count"))]
+    SPANS = StructType(
+        [StructField("url", StringType()), *(StructField(c, LongType()) for c in ("lo_first", "lo", "hi", "n"))]
     )
     RANKINGS = ranking_schema("url", StringType(), StructField("revision", LongType()))
     # A repeated batch looks up the one before it.
@@ -254,29 +258,46 @@ class PageFirings:
         self.lateness = lateness
         self.limits = limits
         rows = [*ACCESS_LOG.fields, *(StructField(c, LongType()) for c in self.arrival)]
-        count = {"first_count": "sum", "view_count": "sum"}
         self.input = BatchTable(spark, f"{out}/input", StructType(rows), fanout, keep=self.KEEP)
         self.late = BatchTable(spark, f"{out}/late", StructType([*rows, StructField("running_max_ms", LongType())]), fanout)
-        self.open = KeyedTable(spark, f"{out}/open", self.COUNTS, Keys(("url", "window_end"), count, "window_end"), fanout)
-        self.closed = BatchTable(spark, f"{out}/closed", self.COUNTS, fanout)
+        self.spans = BatchTable(spark, f"{out}/spans", self.SPANS, fanout)
         self.rankings = BatchTable(spark, f"{out}/rankings", self.RANKINGS, fanout)
 
     def start(self, log: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         return for_each_batch(log, self.apply, checkpoint, once=once)
 
     def _newest(self, batch_id: int) -> int | None:
-        """The clock after a batch, noted with its closed windows; null before any row with a time."""
-        return self.closed.note(batch_id) if batch_id >= 0 else None
-
-    def _passed(self, wait_ms: int, clock: int | None):
-        """Windows whose end and ``wait_ms`` the clock has passed."""
-        return F.lit(False) if clock is None else F.col("window_end") + wait_ms <= clock
+        """The clock after a batch, noted with its rankings; null before any row with a time."""
+        return self.rankings.note(batch_id) if batch_id >= 0 else None
+
+    def _passed(self, wait_ms: int, clock: int | None) -> int | None:
+        """The last window whose end and ``wait_ms`` the clock has passed."""
+        return None if clock is None else self.spec.last_ending_by(clock - wait_ms)
+
+    def _ranking(self, count: str, after: int | None, last: int | None, only: DataFrame | None = None) -> DataFrame:
+        """Top-N by one of the counts in the windows beyond ``after`` up to ``last``; of these ``only`` some, if given."""
+        lo, hi = F.col(FIRINGS[count]), F.col("hi")
+        spans = self.spans.read()
+        # Spans of windows long past are skipped by the statistics of their files.
+        if after is not None:
+            spans = spans.where(hi > after)
+            lo = F.greatest(lo, F.lit(after + 1).cast("bigint"))
+        if last is not None:
+            spans = spans.where(F.col(FIRINGS[count]) <= last)
+            hi = F.least(hi, F.lit(last).cast("bigint"))
+        spans = spans.select("url", lo.alias("lo"), hi.alias("hi"), "n").where("lo <= hi")
+        spans = spans.groupBy("url", "lo", "hi").agg(F.sum("n").alias("n"))
+        counts = span_counts(spans, ["url"], self.spec)
+        return top_n(counts if only is None else counts.join(only, "window_end", "left_semi"), self.n, "url")
+
+    def _revised(self, batch_id: int) -> DataFrame:
+        """(start, window_end) of the windows that had fired before requests of this batch came for them."""
+        late = self.spans.read_batches([batch_id]).select("lo", F.least(F.col("lo_first") - 1, "hi").alias("top"))
+        starts = late.where("lo <= top").distinct().select(F.explode(F.sequence("lo", "top")).alias("start")).distinct()
+        return starts.select("start", self.spec.end_ms(F.col("start")).alias("window_end"))
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         before = self._newest(batch_id - 1)
-        if before is not None:
-            # What was final before this batch, so that repeating it finds the same windows.
-            self.open.expire(before - self.lateness.closing_ms)
         # The source is read once; everything below reads this copy.
         self.input.write(number_arrivals(batch, self.arrival[0]) if self.numbered else batch, batch_id)
         rows = self.input.read_batches([batch_id]).drop("batch_id")
@@ -285,49 +306,43 @@ class PageFirings:
 
         pages = LatePages(rows, self.arrival, self.spec, self.lateness, self.limits, before, seen["n"])
         self.late.write(pages.late_rows(), batch_id)
-        self.open.write(pages.firings(), batch_id)
-        counts = self.open.read()
+        self.spans.write(pages.spans(), batch_id)
         fired = self._passed(self.lateness.disorder_ms, after)
-        fired_before = self._passed(self.lateness.disorder_ms, before)
-        revised = (
-            self.open.read_batches([batch_id])
-            .where(fired & (F.col("view_count") > F.col("first_count")))
-            .select("window_end")
-            .distinct()
-        )
-        # Of earlier rankings those of windows that can still change; the rest is skipped by its statistics.
-        earlier = self.rankings.read_before(batch_id)
-        if before is not None:
-            earlier = earlier.where(F.col("window_end") > before - self.lateness.closing_ms)
-        done = earlier.groupBy("window_end").agg(F.max("revision").alias("done"))
-        numbers = revised.join(done, "window_end", "left").select(
-            "window_end", (F.coalesce("done", F.lit(0).cast("bigint")) + 1).alias("revision")
-        )
-        first = self._first_ranking(counts.where(fired & ~fired_before))
-        revision = top_n(counts.join(revised, "window_end", "left_semi"), self.n, "url").join(numbers, "window_end")
-        self.rankings.write(first.unionByName(revision), batch_id)
-        final = self._passed(self.lateness.closing_ms, after) & ~self._passed(self.lateness.closing_ms, before)
+        rankings = self._first_ranking(self._passed(self.lateness.disorder_ms, before), fired)
+        if fired is None:
+            rankings = rankings.where("false")
+        revised = self._revised(batch_id)
+        lowest, highest = revised.agg(F.min("start"), F.max("start")).first()
+        if lowest is not None:
+            # Of earlier rankings those of windows that can still change; the rest is skipped by its statistics.
+            earlier = self.rankings.read_before(batch_id)
+            if before is not None:
+                earlier = earlier.where(F.col("window_end") > before - self.lateness.closing_ms)
+            done = earlier.groupBy("window_end").agg(F.max("revision").alias("done"))
+            numbers = revised.join(done, "window_end", "left").select(
+                "window_end", (F.coalesce("done", F.lit(0).cast("bigint")) + 1).alias("revision")
+            )
+            ranked = self._ranking("view_count", lowest - 1, highest, only=revised)
+            rankings = rankings.unionByName(ranked.join(numbers, "window_end"))
         # The last write of the batch: with it the clock moves on.
-        self.closed.write(counts.where(final), batch_id, after)
+        self.rankings.write(rankings, batch_id, after)
 
-    def _first_ranking(self, counts: DataFrame) -> DataFrame:
-        first = counts.select("url", "window_end", F.col("first_count").alias("view_count")).where("view_count > 0")
-        return top_n(first, self.n, "url").withColumn("revision", F.lit(0).cast("bigint"))
+    def _first_ranking(self, after: int | None, last: int | None) -> DataFrame:
+        return self._ranking("first_count", after, last).withColumn("revision", F.lit(0).cast("bigint"))
 
     def finish(self) -> None:
         """Fire the windows that are pending at the end of the input.
 
         These rankings are provisional: if more input follows, they are withdrawn with its first batch.
         """
-        last = self.closed.manifest().last
-        pending = self.open.read().where(~self._passed(self.lateness.disorder_ms, self._newest(last)))
-        self.rankings.write_provisional(self._first_ranking(pending), last)
+        last = self.rankings.manifest().last
+        fired = self._passed(self.lateness.disorder_ms, self._newest(last))
+        self.rankings.write_provisional(self._first_ranking(fired, None), last)
 
     def counts(self) -> DataFrame:
         """Requests per (URL, window) so far: ``first_count`` for its firing, ``view_count`` with those after it."""
-        newest = self._newest(self.closed.manifest().last)
-        still_open = self.open.read().where(~self._passed(self.lateness.closing_ms, newest))
-        return self.closed.read().unionByName(still_open).drop("batch_id")
+        spans = self.spans.read().groupBy("url", "lo_first", "lo", "hi").agg(F.sum("n").alias("n"))
+        return span_measures(spans, ["url"], self.spec, FIRINGS)
 
     def first_ranking(self) -> DataFrame:
         return self.rankings.read().where("revision = 0").select("window_end", "rank", "url", "view_count")

@@ -28,8 +28,9 @@ FRAGMENTS = 8
 RANKED = 250_000
 #: Most sets whose ids are sent to every task (8 MB).
 LISTED = 1_000_000
-#: Words of 64 bits in a set's bitmap.
+#: Words of 64 bits in the bitmap that goes with a prefix shingle, and in the one that judges a pair.
 BITMAP = 8
+WIDE = 32
 #: Sets of a shingle that are tested against all others in the first round; four times as many each round.
 PIVOTS = 16
 
@@ -43,21 +44,29 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(rolled(words + np.uint64(size), size))
 
 
-def bitmap(members: np.ndarray) -> np.ndarray:
-    """One bit for each member, by its hash; sets that differ in k bits differ in k members at least."""
-    bits = np.zeros(BITMAP * 64, np.uint8)
-    bits[(mixed(members) % np.uint64(BITMAP * 64)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.int64)
+def bitmap(members: np.ndarray, size: int = BITMAP) -> np.ndarray:
+    """The parity of the members at each place, by hash; sets that differ in k bits differ in k members at least.
+
+    Members of both sets cancel out, so what two bitmaps tell does not fade with the sets' sizes, only
+    with the number of members in which they differ.
+    """
+    places = (mixed(members) % np.uint64(size * 64)).astype(np.int64)
+    odd = np.bincount(places, minlength=size * 64) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def bits_of(column: str, size: int) -> F.Column:
+    return F.struct(*[F.col(column)[k].alias(f"b{k}") for k in range(size)]).alias("bits")
 
 
-def near(x: str, y: str, similarity: int) -> F.Column:
+def near(x: str, y: str, similarity: int, size: int = BITMAP) -> F.Column:
     """Whether two sets can link by their sizes and bitmaps, in columns with the suffixes ``x``, ``y``.
 
     Linked sets differ in at most (100 - similarity) / (100 + similarity) of the sum of their
-    sizes, so no link is lost. Sets of far more members than a bitmap has bits pass.
+    sizes, so no link is lost. Sets pass that may differ in more members than half a bitmap's bits.
     """
     n, m = F.col("n" + x), F.col("n" + y)
-    differ = sum((F.bit_count(F.col(f"bits{x}.b{k}").bitwiseXOR(F.col(f"bits{y}.b{k}"))) for k in range(BITMAP)), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"bits{x}.b{k}").bitwiseXOR(F.col(f"bits{y}.b{k}"))) for k in range(size)), F.lit(0))
     sizes = 100 * F.least(n, m) >= similarity * F.greatest(n, m)
     return sizes & ((100 + similarity) * differ <= (100 - similarity) * (n + m))
 
@@ -124,8 +133,8 @@ def in_order(members: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> tuple
     return found[order], members[order]
 
 
-def segments(sets: DataFrame, fragments: int, similarity: int) -> tuple[DataFrame, DataFrame]:
-    """(segments, prefixes): the sets cut by fragments of the global order, and their prefixes.
+def segments(sets: DataFrame, fragments: int, similarity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(segments, wide bitmaps, prefixes): the sets cut by fragments of the global order, and their prefixes.
 
     Half of the fragments are ranges of hashes of the rare shingles, half of those in a class.
     A set's prefix is so long that two linked sets share a member of their prefixes.
@@ -134,12 +143,13 @@ def segments(sets: DataFrame, fragments: int, similarity: int) -> tuple[DataFram
     width = 2**64 // (fragments // 2)
 
     def run(rows: dict) -> dict:
-        out = {k: [] for k in ("doc_id", "n", "bitmap", "prefix", "cut")}
+        out = {k: [] for k in ("doc_id", "n", "bitmap", "wide", "prefix", "cut")}
         for doc_id, n, bits, members in zip(*(rows[k] for k in ("doc_id", "n", "bitmap", "shingles"))):
             classes, ranked = in_order(np.array(members, np.int64), order.value)
             out["doc_id"].append(doc_id)
             out["n"].append(n)
             out["bitmap"].append(bits)
+            out["wide"].append(bitmap(np.array(members, np.int64).view(np.uint64), WIDE))
             out["prefix"].append(ranked[: n - -(-similarity * n // 100) + 1])
             place = np.minimum((ranked.view(np.uint64) // np.uint64(width)).astype(np.int64), fragments // 2 - 1)
             place += np.where(classes > 0, fragments // 2, 0)
@@ -148,19 +158,26 @@ def segments(sets: DataFrame, fragments: int, similarity: int) -> tuple[DataFram
             out["cut"].append([ranked[at][a:b].tolist() for a, b in zip(ends, ends[1:])])
         return out
 
-    schema = "doc_id bigint, n bigint, bitmap array<bigint>, prefix array<bigint>, cut array<array<bigint>>"
+    schema = "doc_id bigint, n bigint, bitmap array<bigint>, wide array<bigint>, prefix array<bigint>, cut array<array<bigint>>"
     ordered = materialize(map_batches(sets.select("doc_id", "n", "bitmap", "shingles"), run, schema), "ordered-sets")
     cut = ordered.select("doc_id", F.posexplode("cut").alias("fragment", "segment")).where(F.size("segment") > 0)
-    bits = ordered.select("doc_id", F.struct(*[F.col("bitmap")[k].alias(f"b{k}") for k in range(BITMAP)]).alias("bits"))
+    bits = ordered.select("doc_id", bits_of("bitmap", BITMAP))
+    wide = ordered.select("doc_id", "n", bits_of("wide", WIDE))
     prefixes = ordered.select("doc_id", "n", F.explode("prefix").alias("s"))
     # Most prefix shingles are in one set only; the others get the set's bitmap.
     shared = prefixes.groupBy("s").agg(F.count("*").alias("sets")).where("sets > 1")
-    return cut, prefixes.join(shared, "s").join(bits, "doc_id")
+    return cut, wide, prefixes.join(shared, "s").join(bits, "doc_id")
 
 
-def links(pairs: DataFrame, cut: DataFrame, similarity: int) -> DataFrame:
-    """Those of ``pairs`` (a, b, na, nb) that link: overlaps by fragment, summed per pair."""
-    pairs = materialize(pairs, "pairs")
+def links(pairs: DataFrame, cut: DataFrame, wide: DataFrame, similarity: int) -> DataFrame:
+    """Those of ``pairs`` (a, b, na, nb) that link: overlaps by fragment, summed per pair.
+
+    Pairs whose wide bitmaps differ too much leave before their segments are sent.
+    """
+    for side in ("a", "b"):
+        its = wide.select(F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits{side}"))
+        pairs = pairs.join(its, [side, f"n{side}"])
+    pairs = materialize(pairs.where(near("a", "b", similarity, WIDE)).select("a", "b", "na", "nb"), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     # Sets of no pair are not shuffled, as long as the list of those that are can be sent around.
     if needed.count() <= LISTED:
@@ -203,7 +220,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFrame:
+def linked_sets(cut: DataFrame, wide: DataFrame, prefixes: DataFrame, similarity: int) -> DataFrame:
     """(node, component) of all sets that have a link.
 
     First every set is tested against the smallest set of one shingle, that of its prefix which is in
@@ -223,7 +240,7 @@ def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFra
         return found.select("a", F.col("doc_id").alias("b"), F.col("nx").alias("na"), F.col("n").alias("nb"))
 
     widest = prefixes.groupBy("doc_id").agg(F.max(F.struct("sets", "s")).alias("w")).select("doc_id", F.col("w.s").alias("s"))
-    edges = materialize(links(with_heads(prefixes.join(widest, ["doc_id", "s"])).distinct(), cut, similarity), "links")
+    edges = materialize(links(with_heads(prefixes.join(widest, ["doc_id", "s"])).distinct(), cut, wide, similarity), "links")
     found = materialize(components(edges), "components")
 
     def named(rows: DataFrame) -> DataFrame:
@@ -236,7 +253,7 @@ def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFra
     for side in ("a", "b"):
         at = found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
         other = other.join(at, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
-    new = materialize(links(other.where("ca <> cb").drop("ca", "cb"), cut, similarity), "links")
+    new = materialize(links(other.where("ca <> cb").drop("ca", "cb"), cut, wide, similarity), "links")
     if not new.isEmpty():
         edges = edges.unionByName(new)
         found = materialize(components(edges), "components")
@@ -269,7 +286,7 @@ def linked_sets(cut: DataFrame, prefixes: DataFrame, similarity: int) -> DataFra
             )
             .distinct()
         )
-        new = materialize(links(pairs, cut, similarity), "links")
+        new = materialize(links(pairs, cut, wide, similarity), "links")
         done = chosen.select("s", "doc_id") if done is None else done.unionByName(chosen.select("s", "doc_id"))
         if not new.isEmpty():
             edges = edges.unionByName(new)

@@ -97,12 +97,24 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files go with the write that made them, not when the driver's collector finds them.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a small intermediate table to the shared folder and go on from there.
 
     For tables read several times: the pass that made them runs once, a lost executor takes
     nothing with it, and the planner knows the size of what it reads.
     """
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, work_dir(df.sparkSession, name)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""What must not grow faster than the input: candidate pairs, and shuffle files kept beside written tables."""
+"""What must not grow faster than the input: candidate pairs, and what is kept on disk beside the tables in use."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import jaccard
+from tidemark.llm import jaccard, scoring
+from tidemark.streaming.files import SharedFolder
 
 
 def differing_bits(a, b):
@@ -58,3 +59,14 @@ def test_written_tables_keep_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not files() - kept
     assert written.count() == 10 and spark.conf.get(session.FREE_SHUFFLES, None) == setting
+
+
+def test_scoring_keeps_neither_texts_nor_answers(spark, monkeypatch):
+    """Each size's answers are written before the next asks, and all is gone once documents are traversed."""
+    paths = []
+    monkeypatch.setattr(scoring, "written", lambda df, path: (paths.append(path), session.written(df, path))[1])
+    docs = spark.createDataFrame([(k, f"one two three w{k % 4} w{k % 3}") for k in range(20)], "doc_id bigint, text string")
+    scored = scoring.score(docs)
+    assert [path.rsplit("/", 1)[1] for path in paths] == ["chunks", "answers-1", "answers-2", "answers-3"]
+    assert not any(SharedFolder(spark, path).names("") for path in paths)
+    assert scored.count() == 20

@@ -26,14 +26,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import ROLL_A, ROWS, lower_words_of, mixed, ship, table, word_hashes
-from tidemark.session import materialize
+from tidemark.session import materialize, work_dir, written
+from tidemark.streaming.files import SharedFolder
 
 END = np.uint64(0x5EED0F7E87C0FFEE)
 START = np.uint64(0x0B5E55EDC0DEBA5E)
 ORDER = 3
 DISCOUNT = 0.6
 #: Words in a chunk; a chunk is what one group holds in memory.
-CHUNK_WORDS = 1_200_000
+CHUNK_WORDS = 600_000
 #: Tokens of all texts for each shard, which holds no more entries than that, as a rule.
 SHARD_TOKENS = 1_200_000
 #: Bits of a document's place in its chunk, which holds ``CHUNK_WORDS`` documents at most.
@@ -345,7 +346,8 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """
     ship(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn("held_out", held_out(F.col("doc_id")))
-    chunks = materialize(chunks_of(given), "chunks")
+    folder = SharedFolder(docs.sparkSession, work_dir(docs.sparkSession, "scoring"))
+    chunks = written(chunks_of(given), f"{folder.path}/chunks")
     sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "train_tokens", "train_docs")]
     tokens, train_tokens, train_docs = chunks.agg(*sums).first()
     shards = 1 + tokens // SHARD_TOKENS
@@ -353,7 +355,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     def answered(asked: DataFrame) -> DataFrame:
         return asked.groupBy("shard").applyInPandas(summed, ANSWERS)
 
-    answers = materialize(answered(ask_for_words(chunks, shards)), "words")
+    answers = written(answered(ask_for_words(chunks, shards)), f"{folder.path}/answers-1")
     kinds = answers.agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
     totals = Totals(int(train_tokens), int(kinds), int(train_docs))
 
@@ -370,9 +372,12 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     def with_answers(function, schema: str) -> DataFrame:
         return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(function, schema)
 
-    for _ in range(2, order + 1):
-        answers = answers.unionByName(answered(with_answers(ask, ASKED)))
+    for size in range(2, order + 1):
+        # Written size by size: what a size has shuffled is gone before the next one asks.
+        answers = answers.unionByName(written(answered(with_answers(ask, ASKED)), f"{folder.path}/answers-{size}"))
     traversed = materialize(with_answers(run, TRAVERSED), "traversed")
+    # Texts and answers have done their part; what follows reads the traversed documents alone.
+    folder.delete("")
 
     shares = traversed.select(F.inline(F.arrays_zip("key", "kinds", "n", "more", "shorter")))
     context = shares.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("kinds", "n", "shorter")], F.max("more").alias("more"))

@@ -107,7 +107,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     For tables read several times: the pass that made them runs once, a lost executor takes
     nothing with it, and the planner knows the size of what it reads.
     """
-    spark, path = df.sparkSession, work_dir(df.sparkSession, name)
+    return written(df, work_dir(df.sparkSession, name))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The same in a folder of the caller's, who may delete it when nothing reads the table any more."""
+    spark = df.sparkSession
     before = spark.conf.get(FREE_SHUFFLES, None)
     spark.conf.set(FREE_SHUFFLES, "true")
     try:

@@ -180,3 +180,15 @@ def test_packed_arrivals_are_in_the_order_of_their_columns(spark):
     packed = df.select("arrival", "id", RunningMax(df, ["arrival", "id"], 1)._order().alias("o")).orderBy("o").collect()
     assert [(r.arrival, r.id) for r in packed] == [(a, i) for a, i, _ in raw]
     assert len({r.o for r in packed}) == len(raw)
+
+
+def test_a_small_log_has_the_exact_maximum_in_one_pass(spark):
+    """Rows of one arrival do not see each other; rows without a time do not move the clock."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(400_000), rng.randrange(4), rng.choice([None, *range(0, 300_000, 7_000)])) for _ in range(400)]
+    schema = "a bigint, b bigint, at bigint"
+    df = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_millis("at"))
+    timed = RunningMax(df, ["a", "b"], 5_000, limits=LookupLimits(sorted_per_task=100), at_most=len(rows)).timed()
+    found = sorted(tuple(r) for r in timed.select("a", "b", F.coalesce("at", F.lit(-1)), "running_max_ms").collect())
+    before = lambda r: max((at for a, b, at in rows if (a, b) < r[:2] and at is not None), default=None)
+    assert found == sorted((a, b, -1 if at is None else at, before((a, b))) for a, b, at in rows)

@@ -333,3 +333,17 @@ def test_console_sink(spark, files, tmp_path):
     )
     query.awaitTermination()
     assert query.name == "pv" and query.exception() is None
+
+
+def test_a_batch_takes_few_jobs(spark, tmp_path):
+    """Batches are many and mostly small, so what each costs besides its rows is their number of jobs."""
+    pages = jobs.PageFirings(spark, str(tmp_path / "pages"), ["arrival"], **PAGES)
+    rows = disordered(60)
+    arrivals = log(spark, [(k, u, at) for k, (u, at) in enumerate(rows)])
+    pages.apply(arrivals.where("arrival < 30"), 0)
+    spark.sparkContext.setJobGroup("second batch", "")
+    try:
+        pages.apply(arrivals.where("arrival >= 30"), 1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("second batch")) <= 24

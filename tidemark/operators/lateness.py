@@ -24,12 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tidemark.functions.integers import floor_div
+from tidemark.functions.integers import floor_div, floor_div_sql
 from tidemark.functions.timing import MINUTE_MS, SECOND_MS, epoch_ms
 from tidemark.operators.counts import HOT_PAGE_WINDOWS, page_requests_only
 from tidemark.operators.topn import top_n
-from tidemark.operators.windows import Sliding, pane_of, span_counts, span_measures
-from tidemark.session import materialize
+from tidemark.operators.windows import Sliding, pane_of_sql, span_counts, span_measures
+from tidemark.session import materialize, shuffle_partitions
 
 # Arrival time per bucket. Narrower means fewer steps to compare per row, wider fewer buckets.
 BUCKET_MS = MINUTE_MS
@@ -40,6 +40,8 @@ BROADCAST_STEPS = 1_000_000
 BROADCAST_STEPS_PER_BUCKET = 256
 # Rows of one arrival bucket per task when the lookup has to shuffle.
 ROWS_PER_TASK = 4_000_000
+# Rows of a small input for each task that sorts them.
+SORTED_PER_TASK = 50_000
 # What is counted per (URL, window), and the column of a span in which that begins.
 FIRINGS = {"first_count": "lo_first", "view_count": "lo"}
 
@@ -63,6 +65,7 @@ class LookupLimits:
     steps: int = BROADCAST_STEPS
     steps_per_bucket: int = BROADCAST_STEPS_PER_BUCKET
     rows_per_task: int = ROWS_PER_TASK
+    sorted_per_task: int = SORTED_PER_TASK
 
 
 class RunningMax:
@@ -71,7 +74,8 @@ class RunningMax:
     ``arrival`` names the columns whose ascending order is the arrival order, a LONG epoch
     in milliseconds first; together they must be unique. ``granularity_ms`` is the precision
     of the result, which is rounded down to a multiple of it. ``at_most``, where it is known, is
-    the number of rows: of an input that fits a task nothing is written or counted to look for skew.
+    the number of rows: of an input that fits a task nothing is written or counted to look for skew, its
+    rows are sorted by bucket (``timed``).
     """
 
     def __init__(
@@ -90,6 +94,7 @@ class RunningMax:
         self.ts = ts
         self.bucket_ms = bucket_ms
         self.limits = limits
+        self.at_most = at_most
         self.small = at_most is not None and at_most <= limits.rows_per_task
 
     def _bucket(self) -> Column:
@@ -123,7 +128,7 @@ class RunningMax:
             )
             .agg(F.min(self._order()).alias("seen"), F.count("*").alias("n"))
         )
-        return marks if self.small else materialize(marks, "arrival-marks")
+        return materialize(marks, "arrival-marks")
 
     @cached_property
     def buckets(self) -> DataFrame:
@@ -183,6 +188,34 @@ class RunningMax:
         found = self._look_up_broadcast(rows) if self._steps_are_few() else self._look_up_sorted(rows)
         return found.withColumn(name, F.col("__cell") * self.granularity_ms).drop("__cell")
 
+    def timed(self, name: str = "running_max_ms") -> DataFrame:
+        """All rows with the exact running maximum, if they are ``small``: no bucket is more than a task sorts.
+
+        A running maximum in each bucket, and what earlier buckets reached, a row for each of these. Rows
+        of the same arrival do not see each other.
+        """
+        arrival, earlier = ", ".join(f"`{c}`" for c in self.arrival), "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        value, nothing = f"unix_millis(`{self.ts}`)", f"{-(2**63) + 1}L"
+        tasks = min(shuffle_partitions(self.rows.sparkSession), 1 + self.at_most // self.limits.sorted_per_task)
+        rows = self.rows.selectExpr("*", f"{floor_div_sql(f'`{self.arrival[0]}`', self.bucket_ms)} AS __bucket")
+        carried = (
+            rows.where("__bucket IS NOT NULL")
+            .groupBy("__bucket")
+            .agg(F.expr(f"max({value}) AS top"))
+            .selectExpr("__bucket", f"max(top) OVER (ORDER BY __bucket {earlier}) AS __carry")
+        )
+        if self.at_most <= self.limits.steps:
+            carried = F.broadcast(carried)
+        within = f"max({value}) OVER (PARTITION BY __bucket ORDER BY {arrival} {earlier})"
+        passed = f"min(coalesce(__within, {nothing})) OVER (PARTITION BY __bucket, {arrival})"
+        return (
+            rows.repartition(tasks, "__bucket")
+            .selectExpr("*", f"CASE WHEN __bucket IS NOT NULL THEN {within} END AS __within")
+            .selectExpr("* EXCEPT (__within)", f"{passed} AS __within")
+            .join(carried, "__bucket", "left")
+            .selectExpr("* EXCEPT (__bucket, __within, __carry)", f"greatest(nullif(__within, {nothing}), __carry) AS `{name}`")
+        )
+
     def _look_up_broadcast(self, rows: DataFrame) -> DataFrame:
         """Rows stay where they are; each compares itself with the few steps of its bucket."""
         lists = self.steps.groupBy(F.col("bucket").alias("__bucket")).agg(
@@ -266,8 +299,6 @@ class RunningMax:
         )
         here = self._order()
         passed = F.array_max(F.transform(F.filter("__marks", lambda m: m["seen"] < here), lambda m: m["at"]))
-        if self.small:
-            return rows.join(lists, "__cell", "left").withColumn(name, passed).drop("__cell", "__marks")
         rows = materialize(rows, "late-rows")
         # Busy stretches only: at most one entry per ``rows_per_task`` of the rows.
         slices = F.broadcast(
@@ -326,33 +357,35 @@ class LatePages:
 
     @cached_property
     def requests(self) -> DataFrame:
-        """Page requests with ``running_max_ms`` to the granularity above."""
+        """Page requests with ``running_max_ms``, to the granularity above or, of a small log, exact."""
+        if self.clock.small:
+            return self._with_before(page_requests_only(self.clock.timed()).where(F.col("ts").isNotNull()))
         attached = self.clock.attach(page_requests_only(self.log).where(F.col("ts").isNotNull()))
+        return self._with_before(attached, self.granularity_ms)
+
+    def _with_before(self, timed: DataFrame, granularity_ms: int = 1) -> DataFrame:
         if self.before_ms is None:
-            return attached
-        rounded = self.before_ms // self.granularity_ms * self.granularity_ms
-        return attached.withColumn("running_max_ms", F.greatest("running_max_ms", F.lit(rounded).cast("bigint")))
+            return timed
+        rounded = self.before_ms // granularity_ms * granularity_ms
+        return timed.withColumn("running_max_ms", F.greatest("running_max_ms", F.lit(rounded).cast("bigint")))
 
-    def _first_open(self, pane: Column, grace_ms: int) -> Column:
-        """Index of the first of a row's windows that still takes it, with ``grace_ms`` to wait after its end.
+    def _first_open(self, grace_ms: int) -> str:
+        """Index of the first of a row's windows that still takes it, with ``grace_ms`` to wait after its end, as SQL.
 
         One past the row's last window if none does.
         """
-        spec = self.spec
-        open_from = F.greatest(
-            spec.first_start(pane), spec.first_start_ending_after(F.col("running_max_ms") - grace_ms)
-        )
-        return F.least(open_from, spec.last_start(pane) + 1)
+        spec, pane = self.spec, pane_of_sql("ts", self.spec)
+        open_from = f"greatest({spec.first_start_sql(pane)}, {spec.first_start_ending_after_sql(f'running_max_ms - {grace_ms}')})"
+        return f"least({open_from}, {self._last} + 1)"
+
+    @property
+    def _last(self) -> str:
+        return self.spec.last_start_sql(pane_of_sql("ts", self.spec))
 
     def _counts(self, grace_ms: int) -> DataFrame:
         """Lateness only shortens a row's span of windows from the left."""
-        pane = pane_of("ts", self.spec)
         spans = (
-            self.requests.select(
-                "url",
-                self._first_open(pane, grace_ms).alias("lo"),
-                self.spec.last_start(pane).alias("hi"),
-            )
+            self.requests.selectExpr("url", f"{self._first_open(grace_ms)} AS lo", f"{self._last} AS hi")
             .groupBy("url", "lo", "hi")
             .agg(F.count("*").alias("n"))
         )
@@ -361,13 +394,12 @@ class LatePages:
     def spans(self) -> DataFrame:
         """Requests by URL and the windows that take them: those from ``lo_first`` to ``hi`` in the first result,
         those from ``lo`` in the revised one. Requests that no window takes are left out."""
-        pane = pane_of("ts", self.spec)
         return (
-            self.requests.select(
+            self.requests.selectExpr(
                 "url",
-                self._first_open(pane, self.lateness.disorder_ms).alias("lo_first"),
-                self._first_open(pane, self.lateness.closing_ms).alias("lo"),
-                self.spec.last_start(pane).alias("hi"),
+                f"{self._first_open(self.lateness.disorder_ms)} AS lo_first",
+                f"{self._first_open(self.lateness.closing_ms)} AS lo",
+                f"{self._last} AS hi",
             )
             .where("lo <= hi")
             .groupBy("url", "lo_first", "lo", "hi")
@@ -395,12 +427,8 @@ class LatePages:
 
     def late_rows(self) -> DataFrame:
         """Requests too late for every window they belong to, with the exact running maximum."""
-        pane = pane_of("ts", self.spec)
-        last = self.spec.last_start(pane)
+        first = self.spec.first_start_sql(pane_of_sql("ts", self.spec))
         late = self.requests.where(
-            (self.spec.first_start(pane) <= last) & (self._first_open(pane, self.lateness.closing_ms) > last)
+            f"{first} <= {self._last} AND {self._first_open(self.lateness.closing_ms)} > {self._last}"
         )
-        exact = self.clock.sharpen(late)
-        if self.before_ms is None:
-            return exact
-        return exact.withColumn("running_max_ms", F.greatest("running_max_ms", F.lit(self.before_ms).cast("bigint")))
+        return late if self.clock.small else self._with_before(self.clock.sharpen(late))

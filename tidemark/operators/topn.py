@@ -10,26 +10,36 @@ from pyspark.sql import functions as F
 SPLITS = 256
 
 
-def top_n(counts: DataFrame, n: int, key: str, count: str = "view_count", window: str = "window_end") -> DataFrame:
+def top_n(
+    counts: DataFrame,
+    n: int,
+    key: str,
+    count: str = "view_count",
+    window: str = "window_end",
+    keys: tuple[str, ...] | None = None,
+) -> DataFrame:
     """The ``n`` keys with the highest count in each window; ties go to the smaller key.
 
+    ``keys``, the window among them, tells rankings of one window apart.
+
     With the rank limit written this way Spark plans a group limit below the exchange:
     every task sends at most ``n`` rows per window. It does so up to a threshold only;
     above it the same is done by hand, ranking within slices of the keys first.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
+    keys = keys or (window,)
     order = [F.desc(count), F.asc(key)]
     threshold = int(counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > threshold:
         sliced = counts.withColumn("slice", F.pmod(F.xxhash64(key), F.lit(SPLITS)))
-        place = F.row_number().over(Window.partitionBy(window, "slice").orderBy(*order))
+        place = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy(*order))
         counts = sliced.withColumn("place", place).where(F.col("place") <= n).drop("slice", "place")
-    rank = F.row_number().over(Window.partitionBy(window).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
         counts.withColumn("rank", rank)
         .where(F.col("rank") <= n)
-        .select(window, F.col("rank").cast("bigint").alias("rank"), key, count)
+        .select(*keys, F.col("rank").cast("bigint").alias("rank"), key, count)
     )
 
 

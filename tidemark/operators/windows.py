@@ -7,13 +7,12 @@ milliseconds, and absent when empty.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.integers import floor_div
+from tidemark.functions.integers import floor_div, floor_div_sql
 from tidemark.functions.timing import epoch_ms, interval
 from tidemark.session import shuffle_partitions
 
@@ -57,6 +56,18 @@ class Sliding:
     def end_ms(self, start: Column) -> Column:
         return start * self.slide_ms + self.size_ms
 
+    def first_start_sql(self, pane: str) -> str:
+        return f"({floor_div_sql(f'{pane} * {self.pane_ms} - {self.size_ms}', self.slide_ms)} + 1)"
+
+    def last_start_sql(self, pane: str) -> str:
+        return floor_div_sql(f"{pane} * {self.pane_ms}", self.slide_ms)
+
+    def first_start_ending_after_sql(self, limit_ms: str) -> str:
+        return f"({floor_div_sql(f'{limit_ms} - {self.size_ms}', self.slide_ms)} + 1)"
+
+    def end_ms_sql(self, start: str) -> str:
+        return f"({start} * {self.slide_ms} + {self.size_ms})"
+
     def last_ending_by(self, limit_ms: int) -> int:
         """Index of the last window whose end does not lie beyond ``limit_ms``."""
         return (limit_ms - self.size_ms) // self.slide_ms
@@ -104,6 +115,10 @@ def pane_of(ts: str, spec: Sliding) -> Column:
     return floor_div(epoch_ms(F.col(ts)), spec.pane_ms)
 
 
+def pane_of_sql(ts: str, spec: Sliding) -> str:
+    return floor_div_sql(f"unix_millis({ts})", spec.pane_ms)
+
+
 def span_counts(spans: DataFrame, keys: list[str], spec: Sliding, name: str = "view_count") -> DataFrame:
     """Sum ``n`` per (key, window) over rows that count in every window from ``lo`` to ``hi``.
 
@@ -125,45 +140,43 @@ def span_measures(spans: DataFrame, keys: list[str], spec: Sliding, measures: di
     All spans of a row end in ``hi``. A window is in the result if any of its sums is above zero.
     """
     width = spec.bucket
-    hi, n, zero = F.col("hi"), F.col("n"), F.lit(0).cast("bigint")
-    last = floor_div(hi, width)
+    last = floor_div_sql("hi", width)
     names = list(measures)
+    listed = ", ".join(f"`{k}`" for k in [*keys, "bucket"])
 
-    def step(bucket: Column, at: Column, **parts: Column) -> Column:
-        return F.struct(bucket.alias("bucket"), at.alias("at"), *[parts.get(m, zero).alias(m) for m in names])
-
-    def counts_in(measure: str) -> Column:
-        return F.col(measures[measure]) <= hi
+    def step(bucket: str, at: str, **parts: str) -> str:
+        values = [f"'{m}', {parts.get(m, '0L')}" for m in names]
+        return f"named_struct('bucket', {bucket}, 'at', {at}, {', '.join(values)})"
 
     made = []
     for measure, start in measures.items():
-        lo = F.col(start)
-        first = floor_div(lo, width)
-        made.append(step(F.when(lo <= hi, first), lo, **{measure: n}))
-        made.append(step(F.when(last > first, last), last * width, **{measure: n}))
-    any_counts = reduce(Column.__or__, [counts_in(m) for m in names])
-    ends = {m: F.when(counts_in(m), -n).otherwise(zero) if len(names) > 1 else -n for m in names}
-    made.append(step(F.when(any_counts & (floor_div(hi + 1, width) == last), last), hi + 1, **ends))
+        lo = f"`{start}`"
+        first = floor_div_sql(lo, width)
+        made.append(step(f"CASE WHEN {lo} <= hi THEN {first} END", lo, **{measure: "n"}))
+        made.append(step(f"CASE WHEN {last} > {first} THEN {last} END", f"{last} * {width}", **{measure: "n"}))
+    counts_in = {m: f"`{start}` <= hi" for m, start in measures.items()}
+    any_counts = " OR ".join(counts_in.values())
+    ends = {m: f"CASE WHEN {counts_in[m]} THEN -n ELSE 0L END" if len(names) > 1 else "-n" for m in names}
+    stays = f"({any_counts}) AND {floor_div_sql('hi + 1', width)} = {last}"
+    made.append(step(f"CASE WHEN {stays} THEN {last} END", "hi + 1", **ends))
     steps = (
-        spans.select(*keys, F.inline(F.array(*made)))
-        .where(F.col("bucket").isNotNull())
+        spans.select(*keys, F.expr(f"inline(array({', '.join(made)}))"))
+        .where("bucket IS NOT NULL")
         # Each row grows to as many as size / slide windows after this exchange, which the
         # bytes in it do not show: with the number given, AQE does not merge its partitions.
         .repartition(shuffle_partitions(spans.sparkSession), *keys, "bucket")
     )
     # A row is at most size / slide windows long, shorter than a bucket: two buckets suffice.
-    in_order = Window.partitionBy(*keys, "bucket").orderBy("at")
-    running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_order = f"PARTITION BY {listed} ORDER BY at"
+    running = f"({in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     levels = steps.select(
         *keys,
         "at",
-        *[F.sum(m).over(running).alias(m) for m in names],
-        F.coalesce(F.lead("at").over(in_order), (F.col("bucket") + 1) * width).alias("until"),
-    ).where(reduce(Column.__or__, [F.col(m) > 0 for m in names]) & (F.col("until") > F.col("at")))
+        *[F.expr(f"sum(`{m}`) OVER {running} AS `{m}`") for m in names],
+        F.expr(f"coalesce(lead(at) OVER ({in_order}), (bucket + 1) * {width}) AS until"),
+    ).where(f"({' OR '.join(f'`{m}` > 0' for m in names)}) AND until > at")
     # The outer form only keeps Catalyst from adding a second evaluation of the sequence
     # as a filter; the condition above already rules out empty ones.
-    return levels.select(
-        *keys,
-        F.explode_outer(F.sequence("at", F.col("until") - 1)).alias("start"),
-        *names,
-    ).select(*keys, spec.end_ms(F.col("start")).alias("window_end"), *names)
+    return levels.select(*keys, F.expr("explode_outer(sequence(at, until - 1)) AS start"), *names).select(
+        *keys, F.expr(f"{spec.end_ms_sql('start')} AS window_end"), *names
+    )

@@ -7,14 +7,15 @@ a stream is done on the closed or changed counts of each batch, with the batch o
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 from tidemark.functions.hashing import BITMAP_BITS, visitor_slot
-from tidemark.functions.timing import HOUR_MS, epoch_ms, monotone_watermark
+from tidemark.functions.timing import HOUR_MS, monotone_watermark
 from tidemark.operators.counts import (
     HOT_ITEM_WINDOWS,
     HOT_PAGE_WINDOWS,
@@ -26,7 +27,7 @@ from tidemark.operators.counts import (
 )
 from tidemark.operators.lateness import FIRINGS, LatePages, Lateness, LookupLimits
 from tidemark.operators.topn import ranking_report, top_n
-from tidemark.operators.windows import Sliding, span_counts, span_measures, tumbling, window_end
+from tidemark.operators.windows import Sliding, span_measures, tumbling, window_end
 from tidemark.schemas import ACCESS_LOG
 from tidemark.sources.lines import number_arrivals
 from tidemark.streaming.sinks import for_each_batch
@@ -211,6 +212,19 @@ class RunningVisitors:
         return self.table.read().select("window_end", "uv_count")
 
 
+# The last of a span's windows that had fired before its requests came; those begin with ``lo``.
+LATE_TO = "least(lo_first - 1, hi)"
+
+
+@dataclass(frozen=True)
+class Revised:
+    """Windows from ``lowest`` to ``highest`` that are ranked again: (window_end, revision)."""
+
+    numbers: DataFrame
+    lowest: int
+    highest: int
+
+
 class PageFirings:
     """Page rankings as windows fire and are revised, counts, and the requests that come too late.
 
@@ -274,62 +288,93 @@ class PageFirings:
         """The last window whose end and ``wait_ms`` the clock has passed."""
         return None if clock is None else self.spec.last_ending_by(clock - wait_ms)
 
-    def _ranking(self, count: str, after: int | None, last: int | None, only: DataFrame | None = None) -> DataFrame:
-        """Top-N by one of the counts in the windows beyond ``after`` up to ``last``; of these ``only`` some, if given."""
-        lo, hi = F.col(FIRINGS[count]), F.col("hi")
-        spans = self.spans.read()
+    def _ranking(self, after: int | None, last: int | None, revised: Revised | None = None) -> DataFrame:
+        """Top-N of the windows beyond ``after`` up to ``last`` by the counts they fire with, as revision 0, and
+        of the ``revised`` ones by the counts up to date. Counts are formed once for both."""
+        low = None if after is None else min(w for w in (after + 1, revised and revised.lowest) if w is not None)
+        high = max((w for w in (last, revised and revised.highest) if w is not None), default=None)
+        measures = FIRINGS if revised else {"first_count": FIRINGS["first_count"]}
+        spans, cut, hi = self.spans.read(), {c: c for c in measures.values()}, "hi"
         # Spans of windows long past are skipped by the statistics of their files.
+        if low is not None:
+            spans, cut = spans.where(f"hi >= {low}"), {c: f"greatest({c}, {low}L) AS {c}" for c in cut}
+        if high is not None:
+            spans, hi = spans.where(" OR ".join(f"{c} <= {high}" for c in cut)), f"least(hi, {high}L) AS hi"
+        spans = (
+            spans.selectExpr("url", *cut.values(), hi, "n")
+            .where(" OR ".join(f"{c} <= hi" for c in cut))
+            .groupBy("url", *cut, "hi")
+            .agg(F.expr("sum(n) AS n"))
+        )
+        counts = span_measures(spans, ["url"], self.spec, measures)
+        keys = ("window_end", "revision")
+        if revised is None:
+            fired = counts.selectExpr("url", "window_end", "0L AS revision", "first_count AS view_count")
+            return top_n(fired, self.n, "url", keys=keys)
+        fires = ["first_count > 0"]
         if after is not None:
-            spans = spans.where(hi > after)
-            lo = F.greatest(lo, F.lit(after + 1).cast("bigint"))
+            fires.append(f"window_end > {self.spec.end_ms(after)}")
         if last is not None:
-            spans = spans.where(F.col(FIRINGS[count]) <= last)
-            hi = F.least(hi, F.lit(last).cast("bigint"))
-        spans = spans.select("url", lo.alias("lo"), hi.alias("hi"), "n").where("lo <= hi")
-        spans = spans.groupBy("url", "lo", "hi").agg(F.sum("n").alias("n"))
-        counts = span_counts(spans, ["url"], self.spec)
-        return top_n(counts if only is None else counts.join(only, "window_end", "left_semi"), self.n, "url")
-
-    def _revised(self, batch_id: int) -> DataFrame:
-        """(start, window_end) of the windows that had fired before requests of this batch came for them."""
-        late = self.spans.read_batches([batch_id]).select("lo", F.least(F.col("lo_first") - 1, "hi").alias("top"))
-        starts = late.where("lo <= top").distinct().select(F.explode(F.sequence("lo", "top")).alias("start")).distinct()
-        return starts.select("start", self.spec.end_ms(F.col("start")).alias("window_end"))
+            fires.append(f"window_end <= {self.spec.end_ms(last)}")
+        first = f"CASE WHEN {' AND '.join(fires)} THEN struct(0L AS revision, first_count AS view_count) END"
+        again = "CASE WHEN revision IS NOT NULL THEN struct(revision, view_count) END"
+        counts = counts.join(revised.numbers, "window_end", "left").selectExpr(
+            "url", "window_end", f"inline(array({first}, {again}))"
+        )
+        return top_n(counts.where("revision IS NOT NULL"), self.n, "url", keys=keys)
+
+    def _revised(self, batch_id: int, lowest: int, highest: int) -> Revised:
+        """The windows that had fired before requests of this batch came for them, with the numbers of their revisions.
+
+        Of earlier rankings those of such windows are read; the rest is skipped by its statistics.
+        """
+        end = self.spec.end_ms
+        again = (
+            self.spans.read_batches([batch_id])
+            .where(f"lo <= {LATE_TO}")
+            .selectExpr(f"explode(sequence(lo, {LATE_TO})) AS start")
+            .selectExpr(f"{self.spec.end_ms_sql('start')} AS window_end", "0L AS revision", "true AS now")
+        )
+        earlier = self.rankings.read_before(batch_id).where(f"window_end BETWEEN {end(lowest)} AND {end(highest)}")
+        numbers = (
+            again.union(earlier.selectExpr("window_end", "revision", "false AS now"))
+            .groupBy("window_end")
+            .agg(F.expr("max(revision) + 1 AS revision"), F.expr("max(now) AS now"))
+            .where("now")
+            .drop("now")
+        )
+        few = highest - lowest < self.limits.steps
+        return Revised(F.broadcast(numbers) if few else numbers, lowest, highest)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         before = self._newest(batch_id - 1)
         # The source is read once; everything below reads this copy.
-        self.input.write(number_arrivals(batch, self.arrival[0]) if self.numbered else batch, batch_id)
+        batch = number_arrivals(batch, self.arrival[0]) if self.numbered else batch
+        found = Observation()
+        self.input.write(batch.observe(found, F.expr("max(unix_millis(ts)) AS newest"), F.expr("count(1) AS n")), batch_id)
+        seen = found.get
         rows = self.input.read_batches([batch_id]).drop("batch_id")
-        seen = rows.agg(F.max(epoch_ms(F.col("ts"))).alias("newest"), F.count("*").alias("n")).first()
-        after = max((t for t in (before, seen["newest"]) if t is not None), default=None)
-
-        pages = LatePages(rows, self.arrival, self.spec, self.lateness, self.limits, before, seen["n"])
-        self.late.write(pages.late_rows(), batch_id)
-        self.spans.write(pages.spans(), batch_id)
+        after = max((t for t in (before, seen.get("newest")) if t is not None), default=None)
+
+        pages = LatePages(rows, self.arrival, self.spec, self.lateness, self.limits, before, seen.get("n") or 0)
+        requests = pages.requests.persist()
+        try:
+            self.late.write(pages.late_rows(), batch_id)
+            found = Observation()
+            ends = [F.expr(f"{f}(CASE WHEN lo <= {LATE_TO} THEN {at} END) AS {f}") for f, at in (("min", "lo"), ("max", LATE_TO))]
+            self.spans.write(pages.spans().observe(found, *ends), batch_id)
+        finally:
+            requests.unpersist()
         fired = self._passed(self.lateness.disorder_ms, after)
-        rankings = self._first_ranking(self._passed(self.lateness.disorder_ms, before), fired)
+        late = found.get
+        lowest, highest = late.get("min"), late.get("max")
+        revised = None if lowest is None else self._revised(batch_id, lowest, highest)
+        rankings = self._ranking(self._passed(self.lateness.disorder_ms, before), fired, revised)
         if fired is None:
             rankings = rankings.where("false")
-        revised = self._revised(batch_id)
-        lowest, highest = revised.agg(F.min("start"), F.max("start")).first()
-        if lowest is not None:
-            # Of earlier rankings those of windows that can still change; the rest is skipped by its statistics.
-            earlier = self.rankings.read_before(batch_id)
-            if before is not None:
-                earlier = earlier.where(F.col("window_end") > before - self.lateness.closing_ms)
-            done = earlier.groupBy("window_end").agg(F.max("revision").alias("done"))
-            numbers = revised.join(done, "window_end", "left").select(
-                "window_end", (F.coalesce("done", F.lit(0).cast("bigint")) + 1).alias("revision")
-            )
-            ranked = self._ranking("view_count", lowest - 1, highest, only=revised)
-            rankings = rankings.unionByName(ranked.join(numbers, "window_end"))
         # The last write of the batch: with it the clock moves on.
         self.rankings.write(rankings, batch_id, after)
 
-    def _first_ranking(self, after: int | None, last: int | None) -> DataFrame:
-        return self._ranking("first_count", after, last).withColumn("revision", F.lit(0).cast("bigint"))
-
     def finish(self) -> None:
         """Fire the windows that are pending at the end of the input.
 
@@ -337,7 +382,7 @@ class PageFirings:
         """
         last = self.rankings.manifest().last
         fired = self._passed(self.lateness.disorder_ms, self._newest(last))
-        self.rankings.write_provisional(self._first_ranking(fired, None), last)
+        self.rankings.write_provisional(self._ranking(fired, None), last)
 
     def counts(self) -> DataFrame:
         """Requests per (URL, window) so far: ``first_count`` for its firing, ``view_count`` with those after it."""

@@ -128,7 +128,7 @@ class RunningMax:
             )
             .agg(F.min(self._order()).alias("seen"), F.count("*").alias("n"))
         )
-        return materialize(marks, "arrival-marks")
+        return marks if self.small else materialize(marks, "arrival-marks")
 
     @cached_property
     def buckets(self) -> DataFrame:
@@ -299,6 +299,8 @@ class RunningMax:
         )
         here = self._order()
         passed = F.array_max(F.transform(F.filter("__marks", lambda m: m["seen"] < here), lambda m: m["at"]))
+        if self.small:
+            return rows.join(lists, "__cell", "left").withColumn(name, passed).drop("__cell", "__marks")
         rows = materialize(rows, "late-rows")
         # Busy stretches only: at most one entry per ``rows_per_task`` of the rows.
         slices = F.broadcast(
